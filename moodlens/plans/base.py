@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.operators import cleaning, diagnostics, splits
+from moodlens.operators import cleaning, diagnostics, ensemble, evaluation, keywords, splits
 from moodlens.sources import derived
 
 
@@ -48,3 +48,27 @@ def split(df: DataFrame) -> DataFrame:
 def long_vectors(df: DataFrame, vector: str, *keep: str) -> DataFrame:
     """One row per vector component."""
     return df.select(*keep, F.posexplode(vector).alias("dim", "value"))
+
+
+def model_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Stacked predictions of the two derived models and their ensemble, one row per model and review."""
+    first = kept(evaluation.with_prediction(derived.probabilities(spark, sf)))
+    second = kept(evaluation.with_prediction(derived.probabilities(spark, sf, second=True)))
+    both = ensemble.combine(first, second, 0.4, 0.6)
+    named = [(first, "Random Forest"), (second, "Boosting"), (both, "Ensemble")]
+    cols = ["review_id", "label", "probability", "prediction"]
+    parts = [df.select(*cols, F.lit(name).alias("model")) for df, name in named]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.metrics_table(model_predictions(spark, sf))
+
+
+def keyword_weights(spark: SparkSession, sf: str) -> DataFrame:
+    counts = keywords.emotion_counts(cleaned(spark, sf), min_df=2)
+    return keywords.cloud(keywords.log_odds(counts, min_freq=2))
+
+
+def keyword_table(spark: SparkSession, sf: str) -> DataFrame:
+    return keywords.keyword_table(keyword_weights(spark, sf))
