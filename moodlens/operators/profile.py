@@ -70,7 +70,7 @@ def invalid_scores(df: DataFrame) -> DataFrame:
     )
 
 
-def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+def cleaning_report(cleaned: DataFrame) -> DataFrame:
     """What cleaning did. ``cleaned`` must still hold the rows that became empty."""
     from moodlens.functions import text
 

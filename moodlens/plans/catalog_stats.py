@@ -156,9 +156,12 @@ def _(spark, sf):
     return diagnostics.document_frequency(base.cleaned(spark, sf)).filter(F.col("n_docs") >= 20)
 
 
-@query("agg19_preserved_words", " UNION ALL ".join(
-    f"SELECT {twin.lit(w)} AS word, '{k}' AS kind, coalesce(bool_or(contains(clean_text, {twin.lit(w)})), FALSE) AS found FROM cleaned"
-    for k, ws in (("sentiment", lexicons.SENTIMENT_WORDS), ("negator", lexicons.NEGATORS)) for w in ws))
+_PRESERVED = ", ".join(
+    f"({twin.lit(w)}, '{k}')" for k, ws in (("sentiment", lexicons.SENTIMENT_WORDS), ("negator", lexicons.NEGATORS)) for w in ws)
+
+
+@query("agg19_preserved_words", f"""SELECT w.word, w.kind, bool_or(contains(c.clean_text, w.word)) AS found FROM cleaned c
+ JOIN (SELECT * FROM (VALUES {_PRESERVED}) AS v(word, kind)) w ON TRUE GROUP BY w.word, w.kind""")
 def _(spark, sf):
     return diagnostics.preserved_words(base.cleaned(spark, sf))
 
