@@ -36,7 +36,11 @@ class ForestOptions:
 
 @dataclass(frozen=True)
 class BoostOptions:
-    """Rounds, shrinkage and sampling of each one-vs-rest booster. There is no L2 leaf penalty."""
+    """Rounds, shrinkage and sampling of each one-vs-rest booster. There is no L2 leaf penalty.
+
+    With validation rows a booster stops in the first round whose validation loss falls by less than
+    ``tolerance``; zero stops only when the loss rises.
+    """
 
     rounds: int = 600
     step: float = 0.1
@@ -44,11 +48,15 @@ class BoostOptions:
     row_share: float = 0.8
     feature_share: float = 0.8
     seed: int = 42
-    tolerance: float = 0.01
+    tolerance: float = 0.0
+
+
+def _with_vector(df: DataFrame) -> DataFrame:
+    return df.withColumn("_x", array_to_vector("features"))
 
 
 def vectorised(df: DataFrame) -> DataFrame:
-    return df.withColumn("_x", array_to_vector("features")).withColumn("_y", F.col("label").cast("double"))
+    return _with_vector(df).withColumn("_y", F.col("label").cast("double"))
 
 
 def clip(df: DataFrame) -> DataFrame:
@@ -61,8 +69,8 @@ class Forest:
     model: RandomForestClassificationModel
 
     def predict(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(vectorised(df)).withColumn("probability", vector_to_array("_prob"))
-        return evaluation.with_prediction(out.drop("_x", "_y", "_prob", "_raw", "_pred"))
+        out = self.model.transform(_with_vector(df)).withColumn("probability", vector_to_array("_prob"))
+        return evaluation.with_prediction(out.drop("_x", "_prob", "_raw", "_pred"))
 
     def importances(self) -> list[float]:
         return [float(v) for v in self.model.featureImportances.toArray()]
@@ -94,7 +102,7 @@ class Boosting:
     models: list[GBTClassificationModel] = field(default_factory=list)
 
     def predict(self, df: DataFrame) -> DataFrame:
-        out = vectorised(df)
+        out = _with_vector(df)
         for i, m in enumerate(self.models):
             m.setFeaturesCol("_x").setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_c{i}")
             out = m.transform(out)
@@ -103,7 +111,7 @@ class Boosting:
         total = F.aggregate("_each", F.lit(0.0), lambda a, v: a + v)
         out = out.withColumn("probability", F.zip_with("_each", F.array_repeat(total, len(self.models)), lambda v, t: v / t))
         extra = [f"_{c}{i}" for c in "prc" for i in range(len(self.models))]
-        return evaluation.with_prediction(out.drop("_x", "_y", "_each", *extra))
+        return evaluation.with_prediction(out.drop("_x", "_each", *extra))
 
     def importances(self) -> list[float]:
         per = [m.featureImportances.toArray() for m in self.models]
