@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from moodlens import lexicons
+from moodlens.functions import labels
 from moodlens.functions import vectors as V
 from moodlens.operators import embeddings, models, negative_sampling, prediction, smote, splits
 from moodlens.plans import base, training, twin
@@ -277,9 +278,13 @@ def _(spark, sf):
 
 @query("evl12_known_examples")
 def _(spark, sf):
-    rows = spark.createDataFrame([(i, t, e) for i, (t, e) in enumerate(lexicons.KNOWN_EXAMPLES)], "review_id long, Text string, expected string")
-    out = _scorer(spark, sf).score(rows)
-    return out.select("review_id", "expected", "Predicted_Emotion", (F.col("expected") == F.col("Predicted_Emotion")).alias("passed"))
+    known = spark.createDataFrame([(-1 - i, t, e) for i, (t, e) in enumerate(lexicons.KNOWN_EXAMPLES)],
+                                  "review_id long, Text string, expected string")
+    labelled = base.reviews(spark, sf).select("review_id", "Text", labels.emotion_mapped(F.col("Score")).alias("expected"))
+    out = _scorer(spark, sf).score(labelled.unionByName(known))
+    kind = F.when(F.col("review_id") < 0, "known example").otherwise("review")
+    return out.groupBy(kind.alias("source"), "expected").agg(
+        F.count("*").alias("n"), F.count_if(F.col("expected") == F.col("Predicted_Emotion")).alias("n_passed"))
 
 
 # --- streaming -----------------------------------------------------------------------------------

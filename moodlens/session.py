@@ -37,10 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where that setting is absent (single-machine tests) is a temporary folder made.
     """
+    current = spark.sparkContext.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not current:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         # the context appends its own unique sub-folder to the folder it was given
         return os.path.dirname(current.removeprefix("file:"))
