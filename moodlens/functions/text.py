@@ -54,15 +54,21 @@ def _expand_lowered(c: Column) -> Column:
     """The same rules for text that is already lowercase.
 
     Ignoring case then only matters for the long s, so a rule without s or word boundary is a plain
-    byte search, which is far cheaper than a regular expression.
+    byte search, which is far cheaper than a regular expression. Texts without an apostrophe skip the
+    rules that need one; the two others may run last, as no rule makes or breaks their matches.
     """
-    out = c
-    for pattern, replacement in lexicons.CONTRACTIONS:
-        if "s" not in pattern and "\\" not in pattern:
-            out = F.replace(out, F.lit(pattern), F.lit(replacement))
-        else:
-            out = F.regexp_replace(out, "(?U)" + pattern.replace("s", "[sſ]"), replacement)
-    return out
+
+    def apply(out: Column, rules) -> Column:
+        for pattern, replacement in rules:
+            if "s" not in pattern and "\\" not in pattern:
+                out = F.replace(out, F.lit(pattern), F.lit(replacement))
+            else:
+                out = F.regexp_replace(out, "(?U)" + pattern.replace("s", "[sſ]"), replacement)
+        return out
+
+    with_apostrophe = [r for r in lexicons.CONTRACTIONS if "'" in r[0]]
+    others = [r for r in lexicons.CONTRACTIONS if "'" not in r[0]]
+    return apply(F.when(F.contains(c, F.lit("'")), apply(c, with_apostrophe)).otherwise(c), others)
 
 
 def strip_tags(c: Column) -> Column:
@@ -158,7 +164,7 @@ def aspect_sentences(text: Column, keywords: list[str] | tuple[str, ...]) -> Col
 
 def found_words(text: Column, words: tuple[str, ...] | list[str]) -> Column:
     """The listed words that occur in the text as substrings, in list order."""
-    return F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, w))
+    return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in words]))
 
 
 def scikit_tokens(c: Column) -> Column:

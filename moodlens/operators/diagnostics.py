@@ -53,11 +53,10 @@ def length_quantiles(df: DataFrame, points: tuple[float, ...] = (0.1, 0.5, 0.9,
 
 def length_histogram(df: DataFrame) -> DataFrame:
     """Equal-width bins between the shortest and the longest review: ten to eighty of them."""
-    lens = length_counts(df)
-    lo = lens.agg(F.min("n_tokens")).scalar()
-    hi = lens.agg(F.max("n_tokens")).scalar()
-    sized = lens.select(
-        "n_tokens", "n", lo.cast("double").alias("lo"), hi.cast("double").alias("hi"),
+    span = Window.partitionBy(F.lit(0))  # one row per distinct length
+    hi = F.max("n_tokens").over(span)
+    sized = length_counts(df).select(
+        "n_tokens", "n", F.min("n_tokens").over(span).cast("double").alias("lo"), hi.cast("double").alias("hi"),
         F.least(F.lit(80), F.greatest(F.lit(10), hi)).cast("long").alias("bins"),
     )
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.col("bins")).otherwise(1.0 / F.col("bins"))
@@ -180,15 +179,15 @@ def preserved_words(df: DataFrame) -> DataFrame:
 
 def lexicon_indicators(df: DataFrame) -> DataFrame:
     """Sentiment indicator words per category, their totals and the verdict."""
-    out = df
+    out = df.withColumn("_low", F.lower("clean_text"))
     groups = {"positive": lexicons.POSITIVE_INDICATORS, "negative": lexicons.NEGATIVE_INDICATORS}
     for side, cats in groups.items():
         for cat, words in cats.items():
-            out = out.withColumn(f"{side}_{cat}", text.found_words(F.lower("clean_text"), words))
+            out = out.withColumn(f"{side}_{cat}", text.found_words(F.col("_low"), words))
         total = sum((F.size(f"{side}_{c}") for c in cats), F.lit(0))
         out = out.withColumn(f"n_{side}", total)
     pos, neg = F.col("n_positive"), F.col("n_negative")
     verdict = (
         F.when((pos == 0) & (neg == 0), "neutral").when(pos > neg, "positive").when(neg > pos, "negative").otherwise("mixed")
     )
-    return out.withColumn("verdict", verdict)
+    return out.withColumn("verdict", verdict).drop("_low")

@@ -24,6 +24,18 @@ def token_counts(df: DataFrame, *keep: str) -> DataFrame:
     return tokens_long(df, *cols).groupBy(*cols, "token").agg(F.count("*").alias("c"))
 
 
+def lookup_tokens(df: DataFrame, table: DataFrame, how: str = "inner", max_rows: int = joins.MAX_BROADCAST_ROWS) -> DataFrame:
+    """``review_id, token, c`` joined with a token table.
+
+    When the table may be broadcast, the tokens of a review never leave their task before they are
+    aggregated again. Otherwise repeated tokens are summed first and hot tokens salted.
+    """
+    kept, fits = joins.fits_broadcast(table, max_rows)
+    if fits:
+        return tokens_long(df, "review_id").withColumn("c", F.lit(1).cast("long")).join(F.broadcast(kept), "token", how)
+    return joins.salted_join(token_counts(df), kept, "token", F.col("review_id"), how)
+
+
 def vector_size(vectors: DataFrame, column: str = "vector") -> int:
     row = vectors.select(F.size(column).alias("d")).first()
     if row is None:
@@ -110,15 +122,17 @@ def document_vectors(
             "token", "vector", F.coalesce("weight", F.lit(1.0)).alias("weight"))
     else:
         table = table.withColumn("weight", F.lit(1.0))
-    hits = joins.token_lookup(token_counts(df), table, "token", F.col("review_id"), max_rows=max(1, 20_000_000 // dim))
+    hits = lookup_tokens(df, table, "left", max_rows=max(1, 20_000_000 // dim))
+    known = F.col("vector").isNotNull()
     sums = hits.groupBy("review_id").agg(
-        weighted_sum("vector", F.col("c") * F.col("weight"), dim).alias("_s"), F.sum("c").alias("n_in_vocab")
+        weighted_sum("vector", F.col("c") * F.col("weight"), dim).alias("_s"),
+        F.sum("c").alias("n_tokens"), F.sum(F.when(known, F.col("c")).otherwise(0)).alias("n_in_vocab"),
     )
     zeros = F.array_repeat(F.lit(0.0), dim)
-    out = df.select("review_id", F.size("tokens").alias("n_tokens")).join(sums, "review_id", "left")
-    out = out.select(
-        "review_id", "n_tokens", F.coalesce("n_in_vocab", F.lit(0)).alias("n_in_vocab"),
-        F.coalesce(V.scale(F.col("_s"), 1 / F.col("n_in_vocab")), zeros).alias("features"),
+    # reviews without any token come back through their ids, so texts are cleaned once
+    out = df.select("review_id").join(sums, "review_id", "left").select(
+        "review_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), F.coalesce("n_in_vocab", F.lit(0)).alias("n_in_vocab"),
+        F.when(F.col("n_in_vocab") > 0, V.scale(F.col("_s"), 1 / F.nullif("n_in_vocab", F.lit(0)))).otherwise(zeros).alias("features"),
     )
     if l2:
         out = out.withColumn("features", V.l2_normalise(F.col("features")))

@@ -158,8 +158,8 @@ def fit_vectors(df: DataFrame, options: SamplingOptions = SamplingOptions()) ->
         params = words.groupBy("token").agg(_mean("vin", o.size).alias("vin"), _mean("vout", o.size).alias("vout"))
         if o.architecture == "document":
             moved = result.filter(F.col("kind") == "doc").select("review_id", F.col("vin").alias("dvec"))
-            docs = docs.drop("dvec").join(moved, "review_id")
+            docs = cut_lineage(docs.drop("dvec").join(moved, "review_id"))
     vectors = cut_lineage(params.select("token", F.col("vin").alias("vector")))
     if o.architecture != "document":
         return vectors, None
-    return vectors, cut_lineage(docs.select("review_id", F.col("dvec").alias("vector")))
+    return vectors, docs.select("review_id", F.col("dvec").alias("vector"))

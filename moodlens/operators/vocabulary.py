@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moodlens import lexicons
 from moodlens.functions.stemming import stem_words
-from moodlens.operators import joins
+from moodlens.operators import embeddings, joins
 from moodlens.operators.cleaning import tokens_long
 
 
@@ -58,9 +58,7 @@ def label_codes(counts: DataFrame, label: str = "Emotion") -> DataFrame:
 
 def in_vocabulary_counts(df: DataFrame, vocab: DataFrame) -> DataFrame:
     """Tokens per review and how many of them are in the vocabulary."""
-    pairs = tokens_long(df, "review_id").groupBy("review_id", "token").agg(F.count("*").alias("c"))
-    known = vocab.select("token", F.lit(1).alias("_in"))
-    hit = joins.token_lookup(pairs, known, "token", F.col("review_id"), "left")
+    hit = embeddings.lookup_tokens(df, vocab.select("token", F.lit(1).alias("_in")), "left")
     return hit.groupBy("review_id").agg(
         F.sum("c").alias("n_all"), F.sum(F.when(F.col("_in").isNotNull(), F.col("c")).otherwise(0)).alias("n_in_vocab")
     )

@@ -27,10 +27,9 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def staged(spark: SparkSession, sf: str) -> DataFrame:
-    """The cleaned rows for operators that read them more than once, narrow columns only."""
-    cols = ["review_id", "Score", "Emotion", "tokens", "n_tokens", "clean_text"]
-    return kept(cleaned(spark, sf).select(*cols))
+def staged(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
+    """The cleaned rows for operators that read them more than once; only the columns they need."""
+    return kept(cleaned(spark, sf).select(*(cols or ("review_id", "Emotion", "tokens"))))
 
 
 def freq(df: DataFrame) -> DataFrame:

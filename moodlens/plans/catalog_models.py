@@ -113,27 +113,27 @@ def _(spark, sf):
 
 @query("spl1_stratified_split", "SELECT review_id, Emotion, split FROM split")
 def _(spark, sf):
-    return base.split(base.staged(spark, sf)).select("review_id", "Emotion", "split")
+    return base.split(base.staged(spark, sf, "review_id", "Emotion")).select("review_id", "Emotion", "split")
 
 
 @query("spl2_stratified_folds", """SELECT review_id, Emotion, (row_number() OVER (PARTITION BY Emotion ORDER BY md5(CAST(review_id AS VARCHAR) || ':42')) - 1) % 5 AS fold
  FROM split WHERE split = 'train'""")
 def _(spark, sf):
-    train = base.split(base.staged(spark, sf)).filter(F.col("split") == "train")
+    train = base.split(base.staged(spark, sf, "review_id", "Emotion")).filter(F.col("split") == "train")
     return splits.stratified_folds(train.select("review_id", "Emotion"), k=5)
 
 
 @query("spl3_class_weights", f"""SELECT s.review_id, s.Emotion, {r('w.w')} AS weight FROM split s JOIN (SELECT Emotion, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS w
  FROM split WHERE split = 'train' GROUP BY Emotion) w ON s.Emotion = w.Emotion WHERE s.split = 'train'""")
 def _(spark, sf):
-    train = base.kept(base.split(base.staged(spark, sf)).filter(F.col("split") == "train").select("review_id", "Emotion"))
+    train = base.kept(base.split(base.staged(spark, sf, "review_id", "Emotion")).filter(F.col("split") == "train").select("review_id", "Emotion"))
     return splits.with_class_weights(train)
 
 
 @query("spl5_default_balancing", f"""SELECT {r('max(n) / sum(n)')} AS max_share, CASE WHEN max(n) / sum(n) > 0.6 THEN 'SMOTE' ELSE 'None' END AS method FROM (
  SELECT Emotion, count(*) AS n FROM split WHERE split = 'train' GROUP BY Emotion)""")
 def _(spark, sf):
-    return splits.default_balancing(base.split(base.staged(spark, sf)).filter(F.col("split") == "train"))
+    return splits.default_balancing(base.split(base.staged(spark, sf, "review_id", "Emotion")).filter(F.col("split") == "train"))
 
 
 @query("spl6_validation_splits", """WITH t AS (SELECT review_id, Emotion, row_number() OVER (PARTITION BY Emotion ORDER BY md5(CAST(review_id AS VARCHAR) || ':7')) AS rk,
@@ -141,7 +141,7 @@ def _(spark, sf):
  SELECT review_id, CASE WHEN rk <= round(nc * CAST(0.15 AS DOUBLE)) THEN 'validation' ELSE 'fit' END AS early_stop,
  CASE WHEN rk <= round(nc * CAST(0.2 AS DOUBLE)) THEN 'validation' ELSE 'fit' END AS ensemble FROM t""")
 def _(spark, sf):
-    train = base.kept(base.split(base.staged(spark, sf)).filter(F.col("split") == "train").select("review_id", "Emotion"))
+    train = base.kept(base.split(base.staged(spark, sf, "review_id", "Emotion")).filter(F.col("split") == "train").select("review_id", "Emotion"))
     out = splits.stratified_split(train, test_size=0.15, seed=7, column="early_stop", parts=("fit", "validation"))
     return splits.stratified_split(out, test_size=0.2, seed=7, column="ensemble", parts=("fit", "validation")).drop("Emotion")
 
@@ -293,8 +293,8 @@ _CEN_SIF = _ALL_SIF + ", " + _CEN.format(k=_KEY1, w="coalesce(s.w, 1)", extra="L
 
 def _centroid_parts(spark, sf, sif=False):
     df = base.staged(spark, sf)
-    counts = keywords.emotion_counts(df, min_df=2)
-    vec = base.vectors(df)
+    counts = base.kept(keywords.emotion_counts(df, min_df=2))
+    vec = base.kept(base.vectors(df))
     weights = embeddings.sif_weights(base.freq(df)) if sif else None
     return counts, vec, keywords.centroids(counts, vec, DIM, weights)
 
@@ -321,7 +321,7 @@ def _(spark, sf):
  QUALIFY row_number() OVER (PARTITION BY e.Emotion ORDER BY coalesce(k.n, 0) DESC, v.token) <= 5000""")
 def _(spark, sf):
     counts, vec, _ = _centroid_parts(spark, sf)
-    return keywords.candidates(base.kept(counts), vec, emotion_only=False)
+    return keywords.candidates(counts, vec, emotion_only=False)
 
 
 _SIM = f"""cand AS (SELECT Emotion, token, n FROM (SELECT *, row_number() OVER (PARTITION BY Emotion ORDER BY n DESC, token) AS k FROM kw

@@ -136,7 +136,7 @@ _TFIDF = """w AS (SELECT review_id, unnest(list_filter(string_split_regex(lower(
 
 @query("agg16_mean_tfidf", f"WITH {_TFIDF} SELECT token, {r('m')} AS mean_tfidf FROM z")
 def _(spark, sf):
-    return diagnostics.mean_tfidf(base.staged(spark, sf))
+    return diagnostics.mean_tfidf(base.staged(spark, sf, "review_id", "clean_text"))
 
 
 @query("agg17_diagnostic_summary", f"""WITH c AS (SELECT Emotion, count(*) AS n FROM cleaned_all GROUP BY Emotion),
@@ -178,7 +178,7 @@ def _(spark, sf):
 
 @query("agg21_split_class_counts", "SELECT split, Emotion, count(*) AS n FROM split GROUP BY ALL")
 def _(spark, sf):
-    return splits.class_counts(base.split(base.staged(spark, sf)))
+    return splits.class_counts(base.split(base.staged(spark, sf, "review_id", "Emotion")))
 
 
 # --- lookups -------------------------------------------------------------------------------------
@@ -240,7 +240,7 @@ def _(spark, sf):
 @query("jn6_label_index", """SELECT c.review_id, c.Emotion, l.label FROM cleaned c JOIN (
  SELECT Emotion, dense_rank() OVER (ORDER BY Emotion) - 1 AS label FROM (SELECT DISTINCT Emotion FROM cleaned)) l ON c.Emotion = l.Emotion""")
 def _(spark, sf):
-    df = base.staged(spark, sf)
+    df = base.staged(spark, sf, "review_id", "Emotion")
     codes = vocabulary.label_codes(df.select("Emotion").distinct())
     # one row per class
     return df.join(F.broadcast(codes), "Emotion").select("review_id", "Emotion", "label")
@@ -304,7 +304,7 @@ def _(spark, sf):
 
 @query("top3_top_tfidf", f"WITH {_TFIDF} SELECT token, {r('m')} AS mean_tfidf FROM z ORDER BY round(m, 9) DESC, token LIMIT 20")
 def _(spark, sf):
-    return diagnostics.top_tfidf(base.staged(spark, sf), 20)
+    return diagnostics.top_tfidf(base.staged(spark, sf, "review_id", "clean_text"), 20)
 
 
 _TRAIN_FREQ = "SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM split WHERE split = 'train') GROUP BY token"
@@ -344,7 +344,7 @@ def _(spark, sf):
 @query("top8_first_of_group", """SELECT review_id, row_number() OVER (PARTITION BY n_tokens ORDER BY review_id) = 1 AS is_first FROM cleaned""")
 def _(spark, sf):
     from moodlens.operators import rows
-    df = rows.flag_repeats(base.staged(spark, sf).select("review_id", "n_tokens"), [F.col("n_tokens")])
+    df = rows.flag_repeats(base.staged(spark, sf, "review_id", "n_tokens").select("review_id", "n_tokens"), [F.col("n_tokens")])
     return df.select("review_id", (~F.col("is_duplicate")).alias("is_first"))
 
 

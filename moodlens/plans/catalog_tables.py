@@ -176,7 +176,7 @@ def _(spark, sf):
 
 @query("row10_train_rows", "SELECT review_id, Emotion FROM split WHERE split = 'train'")
 def _(spark, sf):
-    df = base.staged(spark, sf)
+    df = base.staged(spark, sf, "review_id", "Emotion")
     return rows.train_rows(df.select("review_id", "Emotion"), base.split(df))
 
 
@@ -307,7 +307,7 @@ def _(spark, sf):
  {r('coalesce(i.n_in_vocab, 0) / c.n_tokens')} AS coverage FROM cleaned c LEFT JOIN (
  SELECT t.review_id, count(*) AS n_in_vocab FROM toks t JOIN vectors v ON t.token = v.token GROUP BY t.review_id) i ON c.review_id = i.review_id)""")
 def _(spark, sf):
-    df = base.staged(spark, sf)
+    df = base.staged(spark, sf, "review_id", "tokens", "n_tokens", "clean_text")
     return vocabulary.text_stats(df, base.vectors(df).select("token"))
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlens.functions import text
-from moodlens.operators import embeddings, evaluation, models, prediction, splits, vocabulary
+from moodlens.operators import embeddings, evaluation, models, negative_sampling, prediction, splits, vocabulary
 from moodlens.session import cut_lineage
 from moodlens.sources import sinks
 
 FOREST, BOOSTING, ENSEMBLE = "Random Forest", "Boosting", "Ensemble"
+DRIVER_FLOATS = 100_000_000  # largest word vector table MLlib may hold on the driver
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,8 @@ class TrainOptions:
     window: int = 5
     min_count: int = 5
     epochs: int = 10
+    architecture: str = "skipgram"
+    negative: int | None = None  # None trains skip-gram by hierarchical softmax while the model fits the driver
     sample: float = 1e-3
     test_size: float = 0.2
     seed: int = 42
@@ -134,6 +137,25 @@ class Results:
         return evaluation.roc_micro(self.of(model))
 
 
+def fit_word_vectors(corpus: DataFrame, o: TrainOptions) -> DataFrame:
+    """Word vectors of the train rows as a written table.
+
+    MLlib keeps all vectors on the driver, so it is used only below a checked size; beyond it, for CBOW,
+    and when negative words are asked for, the sampler that shares vectors by joins takes over.
+    """
+    tokens = corpus.select(F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
+    words = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= o.min_count).count()
+    if words == 0:
+        raise ValueError(f"no word occurs {o.min_count} times in the train rows")
+    if o.architecture == "skipgram" and not o.negative and words * o.vector_size <= DRIVER_FLOATS:
+        parts = max(1, min(corpus.sparkSession.sparkContext.defaultParallelism, 64))
+        model = embeddings.fit_word2vec(corpus, o.vector_size, o.window, o.min_count, o.epochs, o.seed, parts)
+        return cut_lineage(embeddings.word_vectors(model))
+    options = negative_sampling.SamplingOptions(
+        o.architecture, o.vector_size, o.window, o.min_count, o.epochs, o.negative or 10, seed=o.seed)
+    return negative_sampling.fit_vectors(corpus, options)[0]
+
+
 def featurise_corpus(cleaned: DataFrame, o: TrainOptions) -> tuple[DataFrame, dict]:
     """Split, train word vectors on the train part, and make the vectors of all reviews.
 
@@ -149,9 +171,7 @@ def featurise_corpus(cleaned: DataFrame, o: TrainOptions) -> tuple[DataFrame, di
     if o.sample > 0:
         long = embeddings.tokens_long(corpus, "review_id")
         corpus = embeddings.regroup_tokens(embeddings.subsample_frequent(long, o.sample, o.seed))
-    parts = max(1, min(df.sparkSession.sparkContext.defaultParallelism, 64))
-    w2v = embeddings.fit_word2vec(corpus, o.vector_size, o.window, o.min_count, o.epochs, o.seed, parts)
-    vectors = cut_lineage(embeddings.word_vectors(w2v))
+    vectors = fit_word_vectors(cut_lineage(corpus), o)
     weights = None
     if o.use_sif:
         freq = embeddings.tokens_long(train).groupBy("token").agg(F.count("*").alias("n"))

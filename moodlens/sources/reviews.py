@@ -52,12 +52,13 @@ def _project(df: DataFrame, columns) -> DataFrame:
     return df.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, columns=None, n_rows: int | None = None) -> DataFrame:
-    """Header CSV in UTF-8 with quoted multi-line cells; every column is read as text.
+def read_csv(spark: SparkSession, path: str, columns=None, n_rows: int | None = None, multi_line: bool = True) -> DataFrame:
+    """Header CSV in UTF-8; every column is read as text.
 
-    ``n_rows`` takes the first rows in the order Spark reads the files.
+    Cells may span lines, which keeps a file in one task. For huge files whose cells do not,
+    ``multi_line=False`` lets Spark split them. ``n_rows`` takes the first rows in reading order.
     """
-    df = spark.read.options(header=True, multiLine=True, escape='"', encoding="UTF-8").csv(path)
+    df = spark.read.options(header=True, multiLine=multi_line, escape='"', encoding="UTF-8").csv(path)
     df = _project(df, columns)
     return df.limit(n_rows) if n_rows else df
 
@@ -67,7 +68,7 @@ def read_parquet(spark: SparkSession, path: str, columns=None) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path: str, columns=None, n_rows: int | None = None,
-                 uploaded: bool = False) -> DataFrame:
+                 uploaded: bool = False, multi_line: bool = True) -> DataFrame:
     """Pick the reader from the suffix, then coerce types.
 
     A plain path is CSV only when it ends in ``.csv``; an uploaded file is Parquet only when it
@@ -77,7 +78,7 @@ def read_reviews(spark: SparkSession, path: str, columns=None, n_rows: int | Non
         raise FileNotFoundError(f"path not found: {path}")
     name = path.lower()
     is_csv = not name.endswith(".parquet") if uploaded else name.endswith(".csv")
-    df = read_csv(spark, path, columns, n_rows) if is_csv else read_parquet(spark, path, columns)
+    df = read_csv(spark, path, columns, n_rows, multi_line) if is_csv else read_parquet(spark, path, columns)
     return coerce_types(df)
 
 

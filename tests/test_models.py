@@ -234,3 +234,12 @@ def test_history_rows(spark):
 def test_default_balancing(spark):
     df = spark.createDataFrame([(0,)] * 7 + [(1,)] * 3, "label int")
     assert splits.default_balancing(df, "label").first()["method"] == "SMOTE"
+
+
+def test_word_vectors_beyond_the_driver_limit(spark, monkeypatch):
+    df = spark.createDataFrame([(i, ["good", "tea", "cup"] + (["once"] if i == 0 else [])) for i in range(30)], "review_id long, tokens array<string>")
+    o = training.TrainOptions(vector_size=4, min_count=2, epochs=1, window=2)
+    monkeypatch.setattr(training, "DRIVER_FLOATS", 1)
+    assert {r["token"] for r in training.fit_word_vectors(df, o).collect()} == {"good", "tea", "cup"}
+    with pytest.raises(ValueError, match="no word occurs"):
+        training.fit_word_vectors(df, training.TrainOptions(min_count=99))
