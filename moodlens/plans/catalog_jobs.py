@@ -267,13 +267,12 @@ def _(spark, sf):
 
 
 @query("prd8_history_append", f"""WITH {_TEXT_CLEAN} SELECT r.review_id, CASE WHEN length(r.Text) > 50 THEN concat(substr(r.Text, 1, 50), '...') ELSE r.Text END AS text,
- 'Random Forest' AS model, len(t.tk) AS word_count FROM reviews r JOIN txt t ON r.review_id = t.review_id""")
+ m.model, len(t.tk) AS word_count FROM reviews r JOIN txt t ON r.review_id = t.review_id JOIN (SELECT unnest(['Random Forest', 'Boosting']) AS model) m ON TRUE""")
 def _(spark, sf):
     path = scratch_path(spark, "history")
     scorer, df = _scorer(spark, sf), base.reviews(spark, sf).select("review_id", "Text")
-    for part in (F.col("review_id") < 100, F.col("review_id") >= 100):  # two appends make the whole log
-        rows = prediction.history_rows(scorer.score(df.filter(part), model=training.FOREST), training.FOREST)
-        prediction.append_history(rows, path)
+    for model in (training.FOREST, training.BOOSTING):  # one append per model
+        prediction.append_history(prediction.history_rows(scorer.score(df, model=model), model), path)
     return spark.read.parquet(path).select("review_id", "text", "model", "word_count")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from moodlens import lexicons
-from moodlens.operators import diagnostics, embeddings, evaluation, joins, keywords, prediction, profile, splits, vocabulary
+from moodlens.functions import text
+from moodlens.operators import diagnostics, embeddings, evaluation, joins, keywords, prediction, profile, rows, splits, vocabulary
 from moodlens.plans import base, twin
 from moodlens.plans.registry import query
 from moodlens.plans.twin import r
@@ -231,7 +232,6 @@ def _(spark, sf):
 @query("jn5_stopword_exclusion", f"""SELECT token, count(*) AS n FROM (SELECT unnest({twin.split_words('lower(text)')}) AS token FROM documents)
  WHERE token NOT IN {twin.in_list(lexicons.effective_stopwords())} GROUP BY token""")
 def _(spark, sf):
-    from moodlens.functions import text
     docs = derived.table(spark, sf, "documents").select("doc_id", F.explode_outer(text.tokenise(F.lower("text"))).alias("token"))
     counts = docs.filter(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("n"))
     return vocabulary.drop_listed(counts, vocabulary.stopword_table(spark), "token")
@@ -343,7 +343,6 @@ def _(spark, sf):
 
 @query("top8_first_of_group", """SELECT review_id, row_number() OVER (PARTITION BY n_tokens ORDER BY review_id) = 1 AS is_first FROM cleaned""")
 def _(spark, sf):
-    from moodlens.operators import rows
     df = rows.flag_repeats(base.staged(spark, sf, "review_id", "n_tokens").select("review_id", "n_tokens"), [F.col("n_tokens")])
     return df.select("review_id", (~F.col("is_duplicate")).alias("is_first"))
 

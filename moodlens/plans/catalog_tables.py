@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from moodlens import lexicons
-from moodlens.functions import labels, stemming, text
+from moodlens.functions import labels, text
 from moodlens.operators import cleaning, diagnostics, profile, rows, vocabulary
 from moodlens.plans import base, twin
 from moodlens.plans.registry import query
@@ -153,7 +153,8 @@ def _(spark, sf):
 @query("row6_exact_text_duplicates", """SELECT review_id, Emotion, row_number() OVER (PARTITION BY clean_text ORDER BY review_id) > 1
  AS is_duplicate FROM cleaned_all""")
 def _(spark, sf):
-    return rows.exact_text_duplicates(base.cleaned_all(spark, sf).select("review_id", "Emotion", "clean_text")).drop("clean_text")
+    df = base.kept(base.cleaned_all(spark, sf).select("review_id", "Emotion", "clean_text"))
+    return rows.exact_text_duplicates(df).drop("clean_text")
 
 
 @query("row7_hash_duplicates", """SELECT item_id, md5(text) AS content_hash, row_number() OVER (PARTITION BY md5(text) ORDER BY item_id) > 1

@@ -46,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # the context appends its own unique sub-folder to the folder it was given
         return os.path.dirname(current.removeprefix("file:"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     made = tempfile.mkdtemp(prefix="moodlens-")
     spark.sparkContext.setCheckpointDir(made)
     return made
