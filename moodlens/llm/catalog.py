@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import quality_rules, simhash
+from moodlens.llm import quality_rules, simhash, substring
 from moodlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,24 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+OP3_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i:i + 12] AS k FROM words, unnest(range(1, len(w) - 11)) AS t(i)
+), firsts AS (
+  SELECT k, min(doc_id) AS f FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, i + o AS p FROM windows JOIN firsts USING (k), unnest(range(0, 13)) AS t(o) WHERE f < doc_id
+), cut AS (
+  SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE [x FOR x, i IN w IF NOT list_contains(ps, i)] END, ' ')) AS kept_sha256
+FROM words LEFT JOIN cut USING (doc_id)
+"""
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -37,3 +55,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op3_substring_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
