@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import decontaminate, quality_rules, simhash, substring
+from moodlens.llm import bpe, decontaminate, quality_rules, simhash, substring
 from moodlens.llm.common import table
 
+#: The tokenizer file that the token queries use.
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -94,3 +98,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op2_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
