@@ -6,8 +6,8 @@ depth-first walk gives every prefix its last token: the one token that ends the
 what stands before it. Two tokens fit if merging their symbols gives the same two tokens back. The encoding of a
 prefix shared by many words is so worked out once, and a word's ids are read backwards from its end.
 
-There is no shuffle and no vocabulary of the corpus: each task keeps the ids of at most ``CACHE`` distinct cuts,
-and starts anew when they are full. Work arrives in slices of at most ``SLICE_BYTES`` of text, single long texts
+There is no shuffle and no vocabulary of the corpus: each task keeps the ids of at most ``CACHE`` distinct cuts
+and as many distinct words, and starts anew when they are full. Work arrives in slices of at most ``SLICE_BYTES`` of text, single long texts
 excepted.
 
 Null texts are encoded like empty ones, to no ids. Rows are independent, so repeated rows give equal results; all
@@ -27,8 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-#: Distinct cuts whose ids a task remembers.
-CACHE = 250_000
+#: Distinct cuts, and distinct words, whose ids a task remembers.
+CACHE = 400_000
 #: Distinct new words in one trie.
 TRIE_WORDS = 20_000
 #: Text bytes handled at once.
@@ -71,6 +71,8 @@ class Bpe:
         self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
+        self.known: dict[str, list[int]] = {}
+        self.width = [len(t.removesuffix(self.end)) or 1 for t in self.tokens]
         self.forget()
 
     def forget(self) -> None:
@@ -136,8 +138,7 @@ class Bpe:
             node[""] = word
         out: dict[str, list[int]] = {}
         last = [0] * (max(map(len, words), default=0) + 1)
-        width = [len(t.removesuffix(self.end)) or 1 for t in self.tokens] if not hasattr(self, "width") else self.width
-        self.width = width
+        width = self.width
         stack = [(c, child, "") for c, child in trie.items()]
         while stack:
             c, node, before = stack.pop()
@@ -175,9 +176,14 @@ class Bpe:
         """Remember the ids of new cuts."""
         for k in range(0, len(cuts), TRIE_WORDS):
             parts = [self._pieces(c) for c in cuts[k : k + TRIE_WORDS]]
-            known = self.encode_words({w for p in parts for w in p if isinstance(w, str)})
+            if len(self.known) > CACHE:
+                self.known.clear()
+            known = self.known
+            known |= self.encode_words({w for p in parts for w in p if isinstance(w, str) and w not in known})
             for cut, part in zip(cuts[k : k + TRIE_WORDS], parts, strict=True):
-                ids = [i for w in part for i in (known[w] if isinstance(w, str) else [w])]
+                ids: list[int] = []
+                for w in part:
+                    ids += known[w] if isinstance(w, str) else [w]
                 if self.used + len(ids) > len(self.ids):
                     self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32)])
                 slot = self.slots[cut] = len(self.slots)
