@@ -21,18 +21,15 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-#: Distinct cuts, and distinct words, whose ids a task remembers.
-CACHE = 400_000
+from moodlens.llm.cuts import CACHE, CutMemory, slices
+
 #: Distinct new words in one trie.
 TRIE_WORDS = 20_000
-#: Text bytes handled at once.
-SLICE_BYTES = 4 << 20
 #: Remembered token pairs.
 PAIRS = 500_000
 
@@ -73,14 +70,7 @@ class Bpe:
         self.whole: dict[int, bool] = {}
         self.known: dict[str, list[int]] = {}
         self.width = [len(t.removesuffix(self.end)) or 1 for t in self.tokens]
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.used = 0
-        self.start = np.zeros(CACHE, np.int64)
-        self.length = np.zeros(CACHE, np.int64)
+        self.memory = CutMemory(self.encode_cuts)
 
     # tokens and pairs
 
@@ -172,42 +162,21 @@ class Bpe:
                     out.append(w if w.isascii() and w.isprintable() else "".join([self.symbols[b] for b in w.encode()]))
         return out
 
-    def _learn(self, cuts: list[str]) -> None:
-        """Remember the ids of new cuts."""
+    def encode_cuts(self, cuts: list[str]) -> list[list[int]]:
+        """Ids of cuts, by way of a trie for each ``TRIE_WORDS`` of them."""
+        out = []
         for k in range(0, len(cuts), TRIE_WORDS):
             parts = [self._pieces(c) for c in cuts[k : k + TRIE_WORDS]]
             if len(self.known) > CACHE:
                 self.known.clear()
             known = self.known
             known |= self.encode_words({w for p in parts for w in p if isinstance(w, str) and w not in known})
-            for cut, part in zip(cuts[k : k + TRIE_WORDS], parts, strict=True):
+            for part in parts:
                 ids: list[int] = []
                 for w in part:
                     ids += known[w] if isinstance(w, str) else [w]
-                if self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32)])
-                slot = self.slots[cut] = len(self.slots)
-                if slot >= len(self.start):
-                    self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-                self.start[slot], self.length[slot] = self.used, len(ids)
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-
-    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets of the texts, and the ids of all."""
-        cuts = [t.replace("\n", " ").split(" ") for t in texts]
-        flat = [c for cut in cuts for c in cut]
-        new = list(dict.fromkeys(c for c in flat if c not in self.slots))
-        if len(self.slots) + len(new) > CACHE and self.slots:
-            self.forget()
-            new = list(dict.fromkeys(flat))
-        self._learn(new)
-        slot = np.fromiter(map(self.slots.__getitem__, flat), np.int64, len(flat))
-        length = self.length[slot]
-        ends = np.cumsum(length)
-        at = np.repeat(self.start[slot] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        bounds = np.cumsum([0, *map(len, cuts)])
-        return np.concatenate([[0], ends])[bounds].astype(np.int32), self.ids[at]
+                out.append(ids)
+        return out
 
     def decode(self, ids: list[int] | None) -> str:
         """The tokens of the ids joined by a space; ids without a token are left out."""
@@ -220,16 +189,6 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most ``SLICE_BYTES`` in ``column``, one row at least."""
-    sizes = np.array([len(x) if x else 0 for x in batch.column(column).to_pylist()], np.int64)
-    part = np.cumsum(sizes) // SLICE_BYTES
-    first = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
-    for a, b in zip(first, first[1:]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _with_column(df: DataFrame, name: str, kind: object) -> tuple[DataFrame, StructType]:
     kept = df.drop(name)
     return kept, StructType([*kept.schema.fields, StructField(name, kind)])
@@ -242,9 +201,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for whole in parts:
-            for part in _slices(whole, text):
-                offsets, ids = bpe.encode_batch([t or "" for t in part.column(text).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=[*part.schema.names, out])
+            for part in slices(whole, text):
+                offsets, ids = bpe.memory.encode([t or "" for t in part.column(text).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))], names=[*part.schema.names, out])
 
     return kept.mapInArrow(batches, schema)
 
@@ -256,7 +215,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for whole in parts:
-            for part in _slices(whole, ids):
+            for part in slices(whole, ids):
                 texts = [bpe.decode(x) for x in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
 
