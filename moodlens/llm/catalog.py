@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import bpe, decontaminate, quality_rules, simhash, substring
+from moodlens.llm import bpe, decontaminate, quality_rules, simhash, substring, token_files, warc
 from moodlens.llm.common import table
+from moodlens.session import scratch_path
 
 #: The tokenizer file that the token queries use.
 TOKENIZER = "word_bpe_49k.json"
@@ -68,6 +69,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), l AS (
+  SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) END AS last FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+  CASE WHEN last > page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN last > page_id THEN last END AS refers_to
+FROM l
+"""
+
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,3 +122,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write(docs, folder, public_tokenizers.path(TOKENIZER), end=1)
+    return token_files.read(manifest, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op9_warc", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
