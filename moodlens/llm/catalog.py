@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import bpe, decontaminate, quality_rules, simhash, substring, token_files, warc
+from moodlens.llm import bpe, decontaminate, licenses, quality_rules, simhash, substring, token_files, warc
 from moodlens.llm.common import table
 from moodlens.session import scratch_path
 
@@ -81,6 +81,41 @@ FROM l
 """
 
 
+def _op1_sql() -> str:
+    base = ", ".join(f"('{p}', '{label}')" for p, label in licenses.BASE)
+    kinds = ", ".join(f"('{t}', '{label}')" for t, label in licenses.TEMPLATES)
+    return rf"""
+WITH base AS (
+  SELECT string_split(p, ' ') AS pw, label FROM (VALUES {base}) AS t(p, label)
+), kinds AS (
+  SELECT list_distinct(string_split(t, ' ')) AS tw, label FROM (VALUES {kinds}) AS t(t, label)
+), docs AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+), words AS (
+  SELECT doc_id, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs
+), hits AS (
+  SELECT doc_id, i - 1 AS start, label, 1.0::DOUBLE AS score FROM words, base, unnest(range(1, len(w) - len(pw) + 2)) AS t(i) WHERE w[i:i + len(pw) - 1] = pw
+), lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS lw FROM docs, unnest(string_split(low, chr(10))) AS t(line)
+), met AS (
+  SELECT doc_id, NULL AS start, label, len(list_intersect(tw, lw)) / len(tw)::DOUBLE AS score FROM lines, kinds
+  WHERE len(list_intersect(tw, lw)) >= ceil({licenses.CONTAINMENT} * len(tw) - 1e-9)
+), found AS (
+  SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word, max(score) AS score,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE start IS NOT NULL) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT * FROM hits UNION ALL SELECT * FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM words LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op1_licenses", _op1_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
