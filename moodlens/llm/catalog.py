@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import bpe, decontaminate, licenses, quality_rules, simhash, substring, token_files, warc
+from moodlens.llm import bpe, decontaminate, licenses, quality_rules, shards, simhash, substring, token_files, warc
 from moodlens.llm.common import table
 from moodlens.session import scratch_path
 
@@ -172,3 +172,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     manifest = warc.write(table(spark, sf_dir, "pages"), folder)
     return warc.read(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"), shards=16)
