@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import bpe, decontaminate, licenses, quality_rules, shards, simhash, substring, token_files, warc
+from moodlens.llm import bpe, byte_cnn, decontaminate, licenses, quality_rules, shards, simhash, substring, token_files, warc
 from moodlens.llm.common import table
 from moodlens.session import scratch_path
 
@@ -177,3 +177,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"), shards=16)
+
+
+@query("op7_byte_cnn")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = byte_cnn.train(docs, table(spark, sf_dir, "labels"))
+    return byte_cnn.score(docs, network).select(
+        "doc_id", byte_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
