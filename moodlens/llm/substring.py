@@ -102,7 +102,7 @@ def _by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple
     bucket = (values % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((values, bucket))
     found, first = np.unique(bucket[order], return_index=True)
-    return order, [(int(b), slice(i, j)) for b, i, j in zip(found, first, [*first[1:], len(order)], strict=True)]
+    return order, [(int(b), slice(i, j)) for b, i, j in zip(found, first, [*first, len(order)][1:], strict=False)]
 
 
 def _level1(window: int, buckets: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
