@@ -175,3 +175,15 @@ def scikit_tokens(c: Column) -> Column:
 def preview(c: Column, n: int) -> Column:
     """First n characters and an ellipsis, for display columns."""
     return F.concat(F.substring(c, 1, n), F.lit("..."))
+
+
+def row_key(*columns: str | Column) -> Column:
+    """A 256-bit key that is equal for rows equal in all ``columns``, so that whole texts need no shuffle.
+
+    Every value is written with its length, and nulls have a mark of their own.
+    """
+    parts = []
+    for c in columns:
+        value = F.to_json(F.struct((F.col(c) if isinstance(c, str) else c).alias("v")))
+        parts.append(F.concat(F.length(value).cast("string"), F.lit(":"), value))
+    return F.sha2(F.concat(*parts), 256)

@@ -98,39 +98,47 @@ def top_tokens_per_emotion(freq: DataFrame, k: int = 15) -> DataFrame:
     return freq.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def mean_tfidf(df: DataFrame, max_features: int = 4000) -> DataFrame:
+def _term_counts(df: DataFrame) -> DataFrame:
+    """``review_id, token, tf``, counted inside each review: sorted tokens are runs of equal ones."""
+    tokens = F.sort_array(text.scikit_tokens(F.coalesce("clean_text", F.lit(""))))
+    runs = df.select("review_id", tokens.alias("_t")).withColumn(
+        "_first", F.filter(F.sequence(F.lit(0), F.size("_t") - 1), lambda i: (i == 0) | (F.get("_t", i) != F.get("_t", i - 1)))
+    ).filter(F.size("_t") > 0)
+    ends = F.concat(F.slice("_first", 2, F.size("_first")), F.array(F.size("_t")))
+    pairs = F.zip_with("_first", ends, lambda a, b: F.struct(F.get("_t", a).alias("token"), (b - a).cast("long").alias("tf")))
+    return runs.select("review_id", F.explode(pairs).alias("p")).select("review_id", "p.token", "p.tf")
+
+
+def mean_tfidf(df: DataFrame, max_features: int | None = None) -> DataFrame:
     """Mean TF-IDF weight per token over all reviews.
 
-    Smooth idf, raw term frequency, rows scaled to unit length; the vocabulary is the most frequent
-    ``max_features`` tokens, as chosen by the caller.
+    Smooth idf, raw term frequency, rows scaled to unit length. ``max_features`` keeps only so many of the most
+    frequent tokens; by default all count.
     """
-    tf = (
-        df.select("review_id", F.explode_outer(text.scikit_tokens(F.coalesce("clean_text", F.lit("")))).alias("token"))
-        .filter(F.col("token").isNotNull())
-        .groupBy("review_id", "token").agg(F.count("*").alias("tf"))
-    )
+    tf = _term_counts(df)
     n_docs = df.agg(F.count("*")).scalar()
     vocab = tf.groupBy("token").agg(F.sum("tf").alias("n"), F.count("*").alias("n_docs"))
-    vocab = vocab.orderBy(F.desc("n"), "token").limit(max_features).select("token", "n_docs")
-    vocab = vocab.withColumn("total", n_docs).select(
+    if max_features is not None:
+        vocab = vocab.orderBy(F.desc("n"), "token").limit(max_features)
+    vocab = vocab.select("token", "n_docs").withColumn("total", n_docs).select(
         "token", "total", (F.log((1 + F.col("total")) / (1 + F.col("n_docs"))) + 1).alias("idf")
     )
-    # the vocabulary has at most max_features rows
-    weighted = tf.join(F.broadcast(vocab), "token").withColumn("w", F.col("tf") * F.col("idf"))
+    # only a limited vocabulary has a bounded size
+    weighted = tf.join(vocab if max_features is None else F.broadcast(vocab), "token").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("review_id")))
     return weighted.withColumn("w", F.col("w") / norm).groupBy("token").agg(
         (F.sum("w") / F.max("total")).alias("mean_tfidf")
     )
 
 
-def top_tfidf(df: DataFrame, k: int = 20, max_features: int = 4000) -> DataFrame:
+def top_tfidf(df: DataFrame, k: int = 20, max_features: int | None = None) -> DataFrame:
     return mean_tfidf(df, max_features).orderBy(F.desc(F.round("mean_tfidf", 9)), "token").limit(k)
 
 
 def diagnostic_summary(df: DataFrame, threshold: int = 2) -> DataFrame:
     """One row with the figures behind the verdict and the list of issues found."""
     n_rows = F.col("n_rows")
-    texts = df.groupBy("clean_text").agg(F.count("*").alias("n")).agg(
+    texts = df.groupBy(text.row_key("clean_text")).agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicate")
     )
     per = df.groupBy("Emotion").agg(

@@ -12,7 +12,6 @@ from moodlens.operators import embeddings
 
 CLOUD_CAP = 180
 TABLE_CAP = 60
-MAX_VOCAB = 5000
 
 
 def emotion_counts(df: DataFrame, min_df: int = 20, domain_stop: bool = True) -> DataFrame:
@@ -85,16 +84,18 @@ def centroids(counts: DataFrame, vectors: DataFrame, dim: int, weights: DataFram
     return sums.select("Emotion", V.scale(F.col("_s"), 1 / (F.col("_w") + V.EPS)).alias("centroid"))
 
 
-def candidates(counts: DataFrame, vectors: DataFrame, min_freq: int = 10, max_vocab: int = MAX_VOCAB,
+def candidates(counts: DataFrame, vectors: DataFrame, min_freq: int = 10, max_vocab: int | None = None,
                emotion_only: bool = True, domain_stop: bool = True) -> DataFrame:
     """Words to compare with the centroid: the most frequent ones of the emotion that have a vector,
-    or every word with a vector that passes the keyword test."""
+    or every word with a vector that passes the keyword test. ``max_vocab`` keeps so many per emotion."""
     if emotion_only:
         pool = counts.filter(F.col("n") >= min_freq).join(vectors.select("token"), "token", "left_semi")
     else:
         words = vectors.select("token").filter(text.keyword_token_ok(F.col("token"), domain_stop))
         emotions = counts.agg(F.collect_set("Emotion")).scalar()  # at most three
         pool = words.withColumn("Emotion", F.explode(emotions)).join(counts, ["Emotion", "token"], "left").fillna(0, ["n"])
+    if max_vocab is None:
+        return pool
     rank = F.row_number().over(Window.partitionBy("Emotion").orderBy(F.desc("n"), "token"))
     return pool.withColumn("_r", rank).filter(F.col("_r") <= max_vocab).drop("_r")
 

@@ -27,7 +27,7 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    groups = df.groupBy(text.row_key(*df.columns)).agg(F.count("*").alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

@@ -13,8 +13,7 @@ from moodlens.operators import ranking
 
 def _first_ids(df: DataFrame, keys: Sequence[Column], row_id: str) -> DataFrame:
     # partial aggregation leaves one row per key and task, so a group holding a third of all rows is no hot spot
-    named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*named).agg(F.min(row_id).alias(row_id)).select(row_id)
+    return df.groupBy(text.row_key(*keys)).agg(F.min(row_id).alias(row_id)).select(row_id)
 
 
 def flag_repeats(df: DataFrame, keys: Sequence[Column], row_id: str = "review_id", flag: str = "is_duplicate") -> DataFrame:

@@ -310,23 +310,27 @@ def _(spark, sf):
     return base.long_vectors(_centroid_parts(spark, sf, sif=True)[2], "centroid", "Emotion")
 
 
-@query("key6_candidates", f"""WITH kw AS ({_KEY1}) SELECT Emotion, token, n FROM (SELECT *, row_number() OVER (PARTITION BY Emotion ORDER BY n DESC, token) AS k FROM kw
- WHERE n >= 2 AND token IN (SELECT token FROM vectors)) WHERE k <= 5000""")
+@query("key6_candidates", f"""WITH kw AS ({_KEY1}) SELECT Emotion, token, n FROM kw WHERE n >= 2 AND token IN (SELECT token FROM vectors)""")
 def _(spark, sf):
     counts, vec, _ = _centroid_parts(spark, sf)
     return keywords.candidates(counts, vec, min_freq=2)
 
 
+@query("key6_candidates_capped", f"""WITH kw AS ({_KEY1}) SELECT Emotion, token, n FROM (SELECT *, row_number() OVER (PARTITION BY Emotion ORDER BY n DESC, token) AS k FROM kw
+ WHERE n >= 2 AND token IN (SELECT token FROM vectors)) WHERE k <= 500""")
+def _(spark, sf):
+    counts, vec, _ = _centroid_parts(spark, sf)
+    return keywords.candidates(counts, vec, min_freq=2, max_vocab=500)
+
+
 @query("key6_candidates_all_words", f"""WITH kw AS ({_KEY1}) SELECT e.Emotion, v.token, coalesce(k.n, 0) AS n FROM vectors v JOIN (SELECT DISTINCT Emotion FROM kw) e ON TRUE
- LEFT JOIN kw k ON k.Emotion = e.Emotion AND k.token = v.token WHERE {twin.token_ok('v.token')}
- QUALIFY row_number() OVER (PARTITION BY e.Emotion ORDER BY coalesce(k.n, 0) DESC, v.token) <= 5000""")
+ LEFT JOIN kw k ON k.Emotion = e.Emotion AND k.token = v.token WHERE {twin.token_ok('v.token')}""")
 def _(spark, sf):
     counts, vec, _ = _centroid_parts(spark, sf)
     return keywords.candidates(counts, vec, emotion_only=False)
 
 
-_SIM = f"""cand AS (SELECT Emotion, token, n FROM (SELECT *, row_number() OVER (PARTITION BY Emotion ORDER BY n DESC, token) AS k FROM kw
- WHERE n >= 2 AND token IN (SELECT token FROM vectors)) WHERE k <= 5000),
+_SIM = f"""cand AS (SELECT Emotion, token, n FROM kw WHERE n >= 2 AND token IN (SELECT token FROM vectors)),
  cv AS (SELECT Emotion, list(x ORDER BY dim) AS c FROM cen GROUP BY Emotion),
  sim AS (SELECT a.Emotion, a.token, {_dot('v.vector', 'cv.c')} / (sqrt({_dot('cv.c', 'cv.c')}) + 1e-12::DOUBLE) / (sqrt({_dot('v.vector', 'v.vector')}) + 1e-12::DOUBLE) AS score
  FROM cand a JOIN vectors v ON a.token = v.token JOIN cv ON a.Emotion = cv.Emotion),

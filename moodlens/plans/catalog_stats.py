@@ -128,7 +128,7 @@ def _(spark, sf):
 
 _TFIDF = """w AS (SELECT review_id, unnest(list_filter(string_split_regex(lower(clean_text), '[^\\p{L}\\p{N}_]+'), lambda t: t <> '')) AS token FROM cleaned),
  tf AS (SELECT review_id, token, count(*) AS tf FROM w GROUP BY ALL),
- v AS (SELECT token, sum(tf) AS n, count(*) AS df FROM tf GROUP BY token ORDER BY n DESC, token LIMIT 4000),
+ v AS (SELECT token, sum(tf) AS n, count(*) AS df FROM tf GROUP BY token),
  nd AS (SELECT count(*) AS d FROM cleaned),
  x AS (SELECT tf.review_id, tf.token, tf.tf * (ln((1 + nd.d) / (1 + v.df)) + 1) AS w FROM tf JOIN v ON tf.token = v.token JOIN nd ON TRUE),
  y AS (SELECT token, w / sqrt(sum(w * w) OVER (PARTITION BY review_id)) AS w FROM x),

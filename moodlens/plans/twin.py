@@ -158,6 +158,8 @@ def with_tables(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    head = ",\n".join(f"{n} AS (\n{TABLES[n]}\n)" for n in needed)
+    # cleaned texts and token tables are read several times: computed once
+    kept = {"cleaned_all", "toks", "token_freq"}
+    head = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in kept else ''}(\n{TABLES[n]}\n)" for n in needed)
     body = sql.strip()
     return f"WITH {head},\n{body[5:]}" if body.upper().startswith("WITH ") else f"WITH {head}\n{body}"

@@ -31,14 +31,17 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return out
 
 
+#: Scan partitions from which an input is never dealt out again.
+SMALL_SPLITS = 8
+
+
 def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when the input is one small file.
+    """Give every core work when the input is a few small files.
 
-    A large input already has more scan partitions than cores and is returned as it is, so this
-    never adds a shuffle at scale.
+    Only inputs of fewer than ``SMALL_SPLITS`` scan partitions are shuffled, on a cluster of any size.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= min(cores, SMALL_SPLITS):
         return df
     return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
