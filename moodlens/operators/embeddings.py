@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
@@ -44,8 +45,12 @@ def vector_size(vectors: DataFrame, column: str = "vector") -> int:
 
 
 def weighted_sum(vector: str, weight: Column, dim: int) -> Column:
-    """Aggregate: component-wise sum of ``weight * vector``; partial sums are made before the shuffle."""
-    return F.array(*[F.sum(weight * F.col(vector)[i]) for i in range(dim)])
+    """Aggregate: component-wise sum of ``weight * vector``; partial sums are made before the shuffle.
+
+    One aggregate holds the whole vector, at any size. Rows without a vector add nothing.
+    """
+    scaled = F.transform(F.coalesce(F.col(vector), F.array_repeat(F.lit(0.0), dim)), lambda x: x * F.coalesce(weight, F.lit(0.0)))
+    return vector_to_array(Summarizer.sum(array_to_vector(scaled)))
 
 
 # --- training ------------------------------------------------------------------------------------

@@ -38,8 +38,8 @@ class ForestOptions:
 class BoostOptions:
     """Rounds, shrinkage and sampling of each one-vs-rest booster. There is no L2 leaf penalty.
 
-    With validation rows a booster stops in the first round whose validation loss falls by less than
-    ``tolerance``; zero stops only when the loss rises.
+    With validation rows a booster keeps the round of the least validation loss that ``patience`` rounds without
+    a gain of more than ``tolerance`` follow.
     """
 
     rounds: int = 600
@@ -49,6 +49,7 @@ class BoostOptions:
     feature_share: float = 0.8
     seed: int = 42
     tolerance: float = 0.0
+    patience: int = 30
 
 
 def _with_vector(df: DataFrame) -> DataFrame:
@@ -130,8 +131,14 @@ def fit_boosting(
     train: DataFrame, n_classes: int, options: BoostOptions = BoostOptions(), weight: str | None = None,
     validation: str | None = None,
 ) -> Boosting:
-    """``validation`` names a boolean column; its rows stop the rounds early instead of being fitted."""
+    """``validation`` names a boolean column; its rows choose the number of rounds instead of being fitted.
+
+    All rounds are fitted first; a booster whose best round comes earlier is fitted again up to that round, which
+    gives the same trees, as they depend on seed and rows alone.
+    """
     base = vectorised(train)
+    held = base.filter(F.col(validation)) if validation else None
+    base = base.filter(~F.col(validation)) if validation else base
     models = []
     for c in range(n_classes):
         gbt = GBTClassifier(
@@ -140,13 +147,28 @@ def fit_boosting(
         )
         if weight:
             gbt = gbt.setWeightCol(weight)
-        if validation:
-            gbt = gbt.setValidationIndicatorCol(validation)
-            gbt = gbt.setParams(validationTol=options.tolerance)
-        models.append(gbt.fit(base.withColumn("_yc", (F.col("label") == c).cast("double"))))
+        rows = base.withColumn("_yc", (F.col("label") == c).cast("double"))
+        model = gbt.fit(rows)
+        if held is not None:
+            losses = model.evaluateEachIteration(held.withColumn("_yc", (F.col("label") == c).cast("double")))
+            rounds = best_round(losses, options.patience, options.tolerance)
+            if rounds < len(losses):
+                model = gbt.setMaxIter(rounds).fit(rows)
+        models.append(model)
     return Boosting(models)
 
 
+def best_round(losses: list[float], patience: int, tolerance: float = 0.0) -> int:
+    """The number of rounds to keep: up to the least loss, looking ``patience`` rounds ahead of the best so far."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best] - tolerance:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
 @dataclass
 class Ensemble:
     forest: Forest
@@ -220,12 +242,16 @@ def cv_metrics(predictions: DataFrame) -> DataFrame:
 
 
 def optimise_weights(
-    train: DataFrame, n_classes: int, forest: ForestOptions, boost: BoostOptions, seed: int = 42
+    train: DataFrame, n_classes: int, forest: ForestOptions, boost: BoostOptions, seed: int = 42, method: str = "None"
 ) -> tuple[float, float]:
-    """Fit both models on 80 % of the train rows and pick the grid weight with the best macro F1 on the rest."""
+    """Fit both models on 80 % of the train rows and pick the grid weight with the best macro F1 on the rest.
+
+    With class weights as balancing method the forest keeps them here, too.
+    """
     cut = cut_lineage(splits.stratified_split(train, "label", 0.2, seed, column="_part", parts=("fit", "validation")))
     fit_rows, held = cut.filter(F.col("_part") == "fit"), cut.filter(F.col("_part") == "validation")
-    a = fit_forest(fit_rows, forest).predict(held)
+    weighted, weight = balanced(fit_rows, method) if method == "Class weights" else (fit_rows, None)
+    a = fit_forest(weighted, forest, weight).predict(held)
     b = fit_boosting(fit_rows, n_classes, boost).predict(held)
     best = ensemble.best_weights(ensemble.weight_grid(a, b)).first()
     return best["w1"], best["w2"]

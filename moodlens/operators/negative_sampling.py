@@ -3,7 +3,8 @@
 MLlib trains skip-gram with hierarchical softmax only. Here documents are hashed into chunks of bounded
 size; in every round each chunk receives the vectors of its own words by a join, updates them in
 NumPy, and the results are averaged per word. No table of all vectors is held by the driver or sent to
-every task. Negative words are drawn from the chunk, whose word shares mirror those of the corpus.
+every task. Negative words come from the whole corpus: every word is dealt to chunks at random, in
+proportion to its count to the power 0.75, and a chunk draws its negatives from what it was dealt.
 """
 
 from __future__ import annotations
@@ -12,11 +13,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.session import cut_lineage
 
+NOISE_BLOCK = 100_000
+PART_CHUNKS = 10_000  # chunks of a word that share one copy of its vectors
 ARCHITECTURES = ("skipgram", "cbow", "document")
 
 
@@ -32,6 +37,7 @@ class SamplingOptions:
     seed: int = 42
     chunk_tokens: int = 50_000
     batch: int = 256
+    noise_words: int = 2_000  # negatives dealt to a chunk, on average
 
 
 def _start_vector(key: Column, size: int, seed: int) -> Column:
@@ -79,7 +85,9 @@ def _train_chunk(docs: pd.DataFrame, params: pd.DataFrame, o: SamplingOptions, s
     if len(ids) == 0:
         return inp, out, dvec
     rng = np.random.default_rng(seed)
-    probs = np.bincount(ids, minlength=len(index)) ** 0.75
+    probs = params["noise"].to_numpy(dtype="float64")
+    if probs.sum() == 0:  # a chunk that was dealt nothing
+        probs = np.bincount(ids, minlength=len(index)) ** 0.75
     probs = probs / probs.sum()
     ctx, ok = _pairs(ids, doc, o.window, rng)
     if o.architecture == "skipgram":
@@ -118,15 +126,34 @@ def _round(docs: DataFrame, needed: DataFrame, params: DataFrame, o: SamplingOpt
         rows = pd.DataFrame({"kind": "doc", "token": None, "review_id": d["review_id"], "vin": list(dvec), "vout": None})
         return pd.concat([words, rows], ignore_index=True)
 
-    # (chunk, token) pairs are unique, so no word can be hot in this join
-    sent = needed.join(params, "token").select("chunk", "token", "vin", "vout")
+    # a word in very many chunks is split into parts, each with a copy of its vectors
+    spread = params.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sent = needed.join(spread, ["token", "part"]).select("chunk", "token", "noise", "vin", "vout")
     sent = sent.toDF(*sent.columns)
     return docs.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(
         run, "kind string, token string, review_id long, vin array<double>, vout array<double>")
 
 
-def _mean(column: str, size: int) -> Column:
-    return F.array(*[F.avg(F.col(column)[i]) for i in range(size)])
+def _mean(column: str) -> Column:
+    return vector_to_array(Summarizer.mean(array_to_vector(F.col(column))))
+
+
+def _dealt(vocab: DataFrame, chunks: int, o: SamplingOptions) -> DataFrame:
+    """``(chunk, token, noise)``: how often each chunk was dealt each word as a negative.
+
+    A word's copies over all chunks are its share of counts to the power 0.75, rounded at random; copies are
+    unrolled in blocks, so that a very common word is no long array.
+    """
+    power = F.pow("n", F.lit(0.75))
+    total = vocab.agg(F.sum(power)).scalar()
+    draw = F.pmod(F.xxhash64("token", F.lit(o.seed), F.lit("noise")), F.lit(1_000_003)).cast("double") / 1_000_003.0
+    copies = F.floor(power / F.col("total") * (chunks * o.noise_words) + draw).cast("long")
+    rows = vocab.withColumn("total", total).select("token", copies.alias("copies")).filter("copies > 0")
+    blocks = rows.select("token", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / NOISE_BLOCK))).alias("block"))
+    last = F.least(F.col("copies") - F.col("block") * NOISE_BLOCK, F.lit(NOISE_BLOCK).cast("long"))
+    each = blocks.select("token", F.explode(F.sequence(F.lit(1).cast("long"), last)).alias("i"), "block")
+    chunk = F.pmod(F.xxhash64("token", "block", "i", F.lit(o.seed)), F.lit(chunks)).cast("long")
+    return each.select(chunk.alias("chunk"), "token").groupBy("chunk", "token").agg(F.count("*").alias("noise"))
 
 
 def fit_vectors(df: DataFrame, options: SamplingOptions = SamplingOptions()) -> tuple[DataFrame, DataFrame | None]:
@@ -148,14 +175,19 @@ def fit_vectors(df: DataFrame, options: SamplingOptions = SamplingOptions()) ->
     docs = cut_lineage(docs.withColumn("dvec", _start_vector(F.col("review_id").cast("string"), o.size, o.seed)))
     per = docs.select("chunk", F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
     per = per.groupBy("chunk", "token").agg(F.count("*").alias("n"))
-    vocab = per.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= o.min_count).select("token")
-    needed = cut_lineage(per.select("chunk", "token").join(vocab, "token", "left_semi"))
-    params = cut_lineage(needed.select("token").distinct().select(
-        "token", _start_vector(F.col("token"), o.size, o.seed).alias("vin"), F.array_repeat(F.lit(0.0), o.size).alias("vout")))
+    vocab = per.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= o.min_count)
+    vocab = cut_lineage(vocab)
+    own = per.select("chunk", "token").join(vocab.select("token"), "token", "left_semi").withColumn("noise", F.lit(0).cast("long"))
+    needed = own.unionByName(_dealt(vocab, chunks, o)).groupBy("chunk", "token").agg(F.sum("noise").alias("noise"))
+    needed = cut_lineage(needed)
+    parts = needed.groupBy("token").agg(F.ceil(F.count("*") / PART_CHUNKS).cast("int").alias("parts"))
+    params = cut_lineage(parts.select(
+        "token", "parts", _start_vector(F.col("token"), o.size, o.seed).alias("vin"), F.array_repeat(F.lit(0.0), o.size).alias("vout")))
+    needed = cut_lineage(needed.join(parts, "token").withColumn("part", F.pmod("chunk", "parts").cast("int")).drop("parts"))
     for number in range(o.rounds):
         result = cut_lineage(_round(docs, needed, params, o, number))
         words = result.filter(F.col("kind") == "word")
-        params = words.groupBy("token").agg(_mean("vin", o.size).alias("vin"), _mean("vout", o.size).alias("vout"))
+        params = words.groupBy("token").agg(_mean("vin").alias("vin"), _mean("vout").alias("vout")).join(parts, "token")
         if o.architecture == "document":
             moved = result.filter(F.col("kind") == "doc").select("review_id", F.col("vin").alias("dvec"))
             docs = cut_lineage(docs.drop("dvec").join(moved, "review_id"))

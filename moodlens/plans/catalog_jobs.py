@@ -99,32 +99,37 @@ def _train_rows(spark, sf):
     return base.kept(base.split(base.staged(spark, sf)).filter(F.col("split") == "train").select("review_id", "tokens"))
 
 
-@query("emb1_word2vec", f"SELECT token, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM ({_TRAIN_VOCAB})")
-def _(spark, sf):
-    model = embeddings.fit_word2vec(_train_rows(spark, sf), size=16, window=3, min_count=5, epochs=1, partitions=4)
-    return embeddings.word_vectors(model).select("token", F.size("vector").alias("dim"), (~V.is_zero(F.col("vector"))).alias("moved"))
+def _sampled(architecture):
+    return negative_sampling.SamplingOptions(architecture=architecture, size=16, window=3, negative=4, rounds=2, chunk_tokens=40_000)
 
 
-def _sampled(architecture):
-    return negative_sampling.SamplingOptions(architecture=architecture, size=16, window=3, negative=4, rounds=1, chunk_tokens=40_000)
+def _moved(df, key):
+    """Training changed the start vector, which depends on the key alone."""
+    start = negative_sampling._start_vector(F.col(key).cast("string"), 16, 42)
+    change = F.aggregate(F.zip_with("vector", start, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda a, x: F.greatest(a, x))
+    return df.select(key, F.size("vector").alias("dim"), (change > 1e-12).alias("moved"))
+
+
+@query("emb1_word2vec", f"SELECT token, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM ({_TRAIN_VOCAB})")
+def _(spark, sf):
+    options = training.TrainOptions(vector_size=16, window=3, min_count=5, epochs=2)
+    return _moved(training.fit_word_vectors(_train_rows(spark, sf), options), "token")
 
 
 @query("emb2_cbow", f"SELECT token, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM ({_TRAIN_VOCAB})")
 def _(spark, sf):
-    vec, _ = negative_sampling.fit_vectors(_train_rows(spark, sf), _sampled("cbow"))
-    return vec.select("token", F.size("vector").alias("dim"), (~V.is_zero(F.col("vector"))).alias("moved"))
+    return _moved(negative_sampling.fit_vectors(_train_rows(spark, sf), _sampled("cbow"))[0], "token")
 
 
 @query("emb2_skipgram_negative", f"SELECT token, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM ({_TRAIN_VOCAB})")
 def _(spark, sf):
-    vec, _ = negative_sampling.fit_vectors(_train_rows(spark, sf), _sampled("skipgram"))
-    return vec.select("token", F.size("vector").alias("dim"), (~V.is_zero(F.col("vector"))).alias("moved"))
+    return _moved(negative_sampling.fit_vectors(_train_rows(spark, sf), _sampled("skipgram"))[0], "token")
 
 
-@query("emb4_document_context", "SELECT review_id, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM split WHERE split = 'train'")
+@query("emb4_document_context", f"""WITH tv AS ({_TRAIN_VOCAB}) SELECT review_id, CAST(16 AS BIGINT) AS dim, list_has_any(tokens, (SELECT list(token) FROM tv)) AS moved
+ FROM split WHERE split = 'train'""")
 def _(spark, sf):
-    _, docs = negative_sampling.fit_vectors(_train_rows(spark, sf), _sampled("document"))
-    return docs.select("review_id", F.size("vector").alias("dim"), (~V.is_zero(F.col("vector"))).alias("moved"))
+    return _moved(negative_sampling.fit_vectors(_train_rows(spark, sf), _sampled("document"))[1], "review_id")
 
 
 @query("emb7_remove_principal_component", f"""SELECT vec_id AS review_id, split, CAST(0 AS DOUBLE) AS along_direction FROM ({_EMB_SPLIT})""")

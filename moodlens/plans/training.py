@@ -13,7 +13,7 @@ from moodlens.session import cut_lineage
 from moodlens.sources import sinks
 
 FOREST, BOOSTING, ENSEMBLE = "Random Forest", "Boosting", "Ensemble"
-DRIVER_FLOATS = 100_000_000  # largest word vector table MLlib may hold on the driver
+DRIVER_FLOATS = 100_000_000  # largest word vector table MLlib may hold on the driver; more is an error
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,8 @@ class TrainOptions:
     min_count: int = 5
     epochs: int = 10
     architecture: str = "skipgram"
-    negative: int | None = None  # None trains skip-gram by hierarchical softmax while the model fits the driver
+    negative: int = 10  # 0 trains skip-gram by MLlib's hierarchical softmax, whose table must fit the driver
+    word2vec_partitions: int = 8  # of MLlib's trainer only
     sample: float = 1e-3
     test_size: float = 0.2
     seed: int = 42
@@ -33,6 +34,7 @@ class TrainOptions:
     folds: int = 5
     balancing: str | None = None  # None picks by the largest class share
     early_stop: bool = True
+    early_stop_rows: int = 100  # train rows up to which boosting runs all its rounds
     optimise_weights: bool = True
     drop_unknown: bool = False
     forest: models.ForestOptions = models.ForestOptions()
@@ -140,19 +142,21 @@ class Results:
 def fit_word_vectors(corpus: DataFrame, o: TrainOptions) -> DataFrame:
     """Word vectors of the train rows as a written table.
 
-    MLlib keeps all vectors on the driver, so it is used only below a checked size; beyond it, for CBOW,
-    and when negative words are asked for, the sampler that shares vectors by joins takes over.
+    Negative sampling, at every size; ``negative=0`` asks for MLlib's trainer, which fails beyond a checked size.
     """
     tokens = corpus.select(F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
     words = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= o.min_count).count()
     if words == 0:
         raise ValueError(f"no word occurs {o.min_count} times in the train rows")
-    if o.architecture == "skipgram" and not o.negative and words * o.vector_size <= DRIVER_FLOATS:
-        parts = max(1, min(corpus.sparkSession.sparkContext.defaultParallelism, 64))
-        model = embeddings.fit_word2vec(corpus, o.vector_size, o.window, o.min_count, o.epochs, o.seed, parts)
+    if o.negative == 0:
+        if o.architecture != "skipgram":
+            raise ValueError("hierarchical softmax trains skip-gram only")
+        if words * o.vector_size > DRIVER_FLOATS:
+            raise ValueError(f"{words} words of {o.vector_size} numbers are too many for MLlib's driver table; use negative sampling")
+        model = embeddings.fit_word2vec(corpus, o.vector_size, o.window, o.min_count, o.epochs, o.seed, o.word2vec_partitions)
         return cut_lineage(embeddings.word_vectors(model))
     options = negative_sampling.SamplingOptions(
-        o.architecture, o.vector_size, o.window, o.min_count, o.epochs, o.negative or 10, seed=o.seed)
+        o.architecture, o.vector_size, o.window, o.min_count, o.epochs, o.negative, seed=o.seed)
     return negative_sampling.fit_vectors(corpus, options)[0]
 
 
@@ -211,12 +215,12 @@ def train_and_evaluate(cleaned: DataFrame, o: TrainOptions = TrainOptions()) ->
             cv[name] = models.cv_metrics(cut_lineage(models.cross_validate(train, fit, o.folds, method, o.seed)))
     rows, weight = models.balanced(train, method, o.seed)
     forest = models.fit_forest(rows, o.forest, weight)
-    if o.early_stop and train.limit(101).count() > 100:
+    if o.early_stop and train.limit(o.early_stop_rows + 1).count() > o.early_stop_rows:
         rows, weight = models.with_validation(train, method, seed=o.seed)
         boosting = models.fit_boosting(rows, k, o.boost, weight, "_held")
     else:
         boosting = models.fit_boosting(rows, k, o.boost, weight)
-    w1, w2 = models.optimise_weights(train, k, o.forest, o.boost, o.seed) if o.optimise_weights else (0.5, 0.5)
+    w1, w2 = models.optimise_weights(train, k, o.forest, o.boost, o.seed, method) if o.optimise_weights else (0.5, 0.5)
     scorer = Scorer(fitted["vectors"], names, o.vector_size, forest, boosting, w1, w2, fitted["weights"], fitted["direction"], o.l2)
     keep = ["review_id", "label", "probability", "prediction"]
     tested = [

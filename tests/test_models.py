@@ -236,10 +236,33 @@ def test_default_balancing(spark):
     assert splits.default_balancing(df, "label").first()["method"] == "SMOTE"
 
 
-def test_word_vectors_beyond_the_driver_limit(spark, monkeypatch):
+def test_word_vectors_have_no_size_switch(spark, monkeypatch):
     df = spark.createDataFrame([(i, ["good", "tea", "cup"] + (["once"] if i == 0 else [])) for i in range(30)], "review_id long, tokens array<string>")
-    o = training.TrainOptions(vector_size=4, min_count=2, epochs=1, window=2)
+    plain = dict(vector_size=4, min_count=2, epochs=1, window=2)
+    rows = lambda o: {r["token"]: r["vector"] for r in training.fit_word_vectors(df, o).collect()}
+    small = rows(training.TrainOptions(**plain))
+    assert set(small) == {"good", "tea", "cup"} == set(rows(training.TrainOptions(**plain, negative=0)))
     monkeypatch.setattr(training, "DRIVER_FLOATS", 1)
-    assert {r["token"] for r in training.fit_word_vectors(df, o).collect()} == {"good", "tea", "cup"}
+    assert rows(training.TrainOptions(**plain)) == small
+    with pytest.raises(ValueError, match="too many"):
+        training.fit_word_vectors(df, training.TrainOptions(**plain, negative=0))
     with pytest.raises(ValueError, match="no word occurs"):
         training.fit_word_vectors(df, training.TrainOptions(min_count=99))
+
+
+def test_best_round_has_patience():
+    losses = [5, 4, 4.5, 4.4, 3, 3.5, 3.6, 3.7, 1]
+    assert models.best_round(losses, 3) == 5
+    assert models.best_round(losses, 4) == 9
+    assert models.best_round([3, 2, 1], 30) == 3
+    assert models.best_round([1, 2, 3], 1) == 1
+
+
+def test_boosting_stops_early(spark):
+    """Labels without a pattern: more rounds only fit noise, so the validation loss rises soon."""
+    rng = np.random.default_rng(0)
+    rows = [(i, int(rng.integers(0, 2)), [float(x) for x in rng.normal(size=3)], i % 4 == 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "review_id long, label int, features array<double>, held boolean")
+    full = models.BoostOptions(rounds=12, max_depth=4, step=0.5, patience=2)
+    fitted = models.fit_boosting(df, 2, full, None, "held")
+    assert all(m.getNumTrees < 12 for m in fitted.models)
