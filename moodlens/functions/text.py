@@ -105,12 +105,15 @@ def filter_tokens(tokens: Column, stopwords: tuple[str, ...] | list[str] | None
 
 def normalise(c: Column, options: CleanOptions = CleanOptions()) -> Column:
     """Every cleaning step before tokens are filtered. Contractions come before punctuation."""
-    out = _expand_lowered(lowercase(c)) if options.lower else expand_contractions(c)
-    if options.strip_tags:
-        out = strip_tags(out)
+    expanded = _expand_lowered(lowercase(c)) if options.lower else expand_contractions(c)
+    out = strip_tags(expanded) if options.strip_tags else expanded
     if options.strip_punctuation and options.strip_digits and options.collapse_space:
-        # one pass for the three steps: all they remove becomes white space, whose runs collapse
-        return F.trim(F.regexp_replace(out, r"[^\p{L}\p{Nl}\p{No}_']+", " "))
+        # one pass for the three steps: all they remove becomes white space, whose runs collapse;
+        # plain ASCII texts without a tag need no Unicode classes
+        plain = (F.octet_length(c) == F.char_length(c)) & ~F.contains(c, F.lit("<"))
+        return F.trim(
+            F.when(plain, F.regexp_replace(expanded, r"[^A-Za-z_']+", " ")).otherwise(F.regexp_replace(out, r"[^\p{L}\p{Nl}\p{No}_']+", " "))
+        )
     if options.strip_punctuation:
         out = strip_punctuation(out)
     if options.strip_digits:

@@ -31,14 +31,19 @@ def keep_listed(tokens: DataFrame, words: DataFrame, spread_by: str = "review_id
 
 
 def lemmatise(df: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Replace tokens by their lemma from a user's ``token, lemma`` table; protected words stay."""
+    """Replace tokens by their lemma from a user's ``token, lemma`` table; protected words stay.
+
+    Reviews without tokens keep an empty array.
+    """
     long = tokens_long(df, "review_id")
     usable = lemmas.filter(~F.col("token").isin(*lexicons.PROTECTED_WORDS)).select("token", "lemma").dropDuplicates(["token"])
     joined = joins.token_lookup(long, usable, "token", F.col("review_id"), "left")
     again = joined.groupBy("review_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.coalesce("lemma", "token").alias("t")))).alias("s")
     )
-    return again.select("review_id", F.transform("s", lambda x: x["t"]).alias("tokens"))
+    none = F.array().cast("array<string>")
+    found = again.select("review_id", F.transform("s", lambda x: x["t"]).alias("tokens"))
+    return df.select("review_id").join(found, "review_id", "left").select("review_id", F.coalesce("tokens", none).alias("tokens"))
 
 
 def stem_tokens(df: DataFrame) -> DataFrame:

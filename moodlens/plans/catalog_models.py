@@ -277,6 +277,18 @@ def _(spark, sf):
     return keywords.log_odds(keywords.emotion_counts(base.cleaned(spark, sf), min_df=2), min_freq=2)
 
 
+_TRAIN_TOKENS = "(SELECT review_id, Emotion, unnest(tokens) AS token FROM split WHERE split = 'train')"
+_KEY1_TRAIN = f"""SELECT e.Emotion, e.token, e.n FROM (SELECT Emotion, token, count(*) AS n FROM {_TRAIN_TOKENS} GROUP BY ALL) e
+ JOIN (SELECT token, count(DISTINCT review_id) AS n_docs FROM {_TRAIN_TOKENS} GROUP BY token) d ON e.token = d.token
+ WHERE d.n_docs >= 2 AND e.Emotion IN ('Negative', 'Neutral', 'Positive') AND {twin.token_ok('e.token')}"""
+
+
+@query("key2_log_odds_train", f"WITH {_TOP.replace(_KEY1, _KEY1_TRAIN)} SELECT Emotion, token, n, {r('score')} AS score FROM lo")
+def _(spark, sf):
+    train = base.split(base.staged(spark, sf)).filter(F.col("split") == "train")
+    return keywords.log_odds(keywords.emotion_counts(train, min_df=2), min_freq=2)
+
+
 @query("key3_polarity_gate", f"""WITH {_TOP}, pol AS ({_POL}) SELECT l.Emotion, l.token, l.n, {r('l.score')} AS score FROM lo l JOIN pol p ON l.token = p.token
  WHERE (l.Emotion = 'Positive' AND p.valence >= 0.5) OR (l.Emotion = 'Negative' AND p.valence <= -0.5) OR (l.Emotion = 'Neutral' AND abs(p.valence) <= 0.2)""")
 def _(spark, sf):
