@@ -151,7 +151,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    found = bpe.encode(docs, path, decoded="decoded", keep_text=False)
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -164,7 +164,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
     manifest = token_files.write(docs, folder, public_tokenizers.path(TOKENIZER), end=1)
-    return token_files.read(manifest, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.read(manifest, folder, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query("op9_warc", OP9_SQL)

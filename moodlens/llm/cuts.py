@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct cuts that a memory keeps.
 CACHE = 400_000
@@ -16,10 +17,10 @@ SLICE_BYTES = 4 << 20
 class CutMemory:
     """Cuts texts at spaces and line feeds and encodes every distinct new cut once, with ``learn``.
 
-    When ``CACHE`` cuts are known, it forgets all and starts anew.
+    ``learn`` takes cuts and gives the number of ids of each, and the ids of all. When ``CACHE`` cuts are known, it forgets all and starts anew.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list[list[int]]]) -> None:
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
         self.learn = learn
         self._forget()
 
@@ -31,9 +32,7 @@ class CutMemory:
         self.length = np.zeros(CACHE, np.int64)
 
     def _add(self, cuts: list[str]) -> None:
-        found = self.learn(cuts)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum()))
+        sizes, flat = self.learn(cuts)
         first, total = len(self.slots), len(self.slots) + len(cuts)
         while total > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
@@ -64,8 +63,10 @@ class CutMemory:
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most ``SLICE_BYTES`` of values in ``column``, one row at least."""
-    sizes = np.array([len(x) if x else 0 for x in batch.column(column).to_pylist()], np.int64)
+    """Parts of a batch with at most ``SLICE_BYTES`` of text, or so many list items, in ``column``; one row at least."""
+    values = batch.column(column)
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    sizes = pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(sizes) // SLICE_BYTES
     first = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
     for a, b in zip(first, first[1:]):

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from moodlens.llm import files
-from moodlens.llm.cuts import CutMemory, slices
+from moodlens.llm.cuts import CACHE, CutMemory, slices
 
 MAGIC = b"TOKIDS01"
 #: Compressed bytes after which a file is closed.
@@ -47,17 +48,66 @@ RANGE_BYTES = 24 << 20
 SAMPLE, SAMPLE_IDS = 1_000, 2_048
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+#: Parts of cuts that are encoded in one call.
+JOINED = 2_000
+#: Partitions of files when they are read back, at most.
+READERS = 20_000
 MANIFEST = f"{files.MANIFEST}, documents bigint, ids bigint"
 
 
 @lru_cache(maxsize=2)
 def memory(path: str) -> CutMemory:
-    """The tokenizer's ids, for a tokenizer whose pre-tokenizer drops white space, so that cuts are independent."""
+    """The tokenizer's ids, by the library's own encoder, for tokenizers like this one.
+
+    It lower-cases, its pre-tokenizer drops white space and never joins letters and punctuation. So cuts are
+    independent, and so are a word and the marks behind it: the library encodes each distinct part once.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return CutMemory(lambda cuts: [e.ids for e in tokenizer.encode_batch_fast(cuts, add_special_tokens=False)])
+    special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized}
+    if not special:
+        raise ValueError("the tokenizer must have a special token, to stand between cuts")
+    mark, number = min(special.items())
+
+    known: dict[str, list[int]] = {}
+
+    def encode_new(parts: list[str]) -> None:
+        """Many parts in one call, with a special token between them; parts that hold one themselves go alone."""
+        for k in range(0, len(parts), JOINED):
+            some = parts[k : k + JOINED]
+            joined = " ".join(some)
+            for group in [[p] for p in some] if any(t in joined for t in special) else [some]:
+                ids = tokenizer.encode_batch_fast([mark.join(group)], add_special_tokens=False)[0].ids
+                if len(group) == 1:
+                    known[group[0]] = ids
+                    continue
+                ends = [i for i, x in enumerate(ids) if x == number]
+                for part, first, last in zip(group, [-1, *ends], [*ends, len(ids)], strict=True):
+                    known[part] = ids[first + 1 : last]
+
+    def learn(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pairs = []
+        for cut in cuts:
+            word = cut.rstrip(MARKS)
+            if len(word) < len(cut) and word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()):
+                pairs.append((word.lower() if word.isascii() else word, cut[len(word) :]))
+            else:
+                pairs.append((cut.lower() if cut.isascii() and cut.isalpha() else cut, ""))
+        if len(known) > CACHE:
+            known.clear()
+        encode_new(list(dict.fromkeys(p for pair in pairs for p in pair if p not in known)))
+        sizes, flat = [], []
+        for word, tail in pairs:
+            before = len(flat)
+            flat += known[word]
+            flat += known[tail]
+            sizes.append(len(flat) - before)
+        return np.array(sizes, np.int64), np.array(flat, np.int32)
+
+    return CutMemory(learn)
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, width: int) -> bytes:
@@ -166,14 +216,16 @@ class Reader:
         return np.frombuffer(self.unpacker.decompress(frame, max_output_size=max(1, int(self.counts[k]) * self.kind.itemsize)), self.kind)
 
 
-def read(manifest: DataFrame, folder: str) -> DataFrame:
+def read(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32, ids)`` of every document in the files, in the files' order.
 
-    ``start`` counts the ids before the document. The running total is over files, a bounded row each.
+    ``start`` counts the ids before the document. The running total is over files, a bounded row each. Without
+    ``with_ids`` the ids are read and checked, but stay in the task.
     """
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select("name", "bytes", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    spread = placed.repartition(F.col("name"))
+    spread = placed.repartition(min(READERS, manifest.count() + 1), "name")
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -185,11 +237,11 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 for k in range(len(reader.ids)):
                     ids = reader.document(k)
                     crc = zlib.crc32(ids.astype("<u4").tobytes())
-                    rows.append((int(reader.ids[k]) if reader.present[k] else None, starts[k], len(ids), crc, ids.astype(np.int32)))
+                    rows.append((int(reader.ids[k]) if reader.present[k] else None, starts[k], len(ids), crc, *([ids.astype(np.int32)] if with_ids else [])))
                     size += len(ids)
                     if size > 500_000 or k == len(reader.ids) - 1:
-                        out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                        out = pd.DataFrame(rows, columns=names)
                         yield out.assign(doc_id=out["doc_id"].astype("Int64"))
                         rows, size = [], 0
 
-    return spread.mapInPandas(documents, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>")
+    return spread.mapInPandas(documents, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)

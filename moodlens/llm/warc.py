@@ -33,6 +33,8 @@ REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
 #: Payload bytes of a range.
 RANGE_BYTES = 16 << 20
+#: Partitions of files when they are read back, at most.
+READERS = 20_000
 #: The date in every record; the tables have none.
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -192,7 +194,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                             rows, size = [], 0
                 yield _frame(rows, names)
 
-    spread = manifest.select("name").repartition(F.col("name"))
+    spread = manifest.select("name").repartition(min(READERS, manifest.count() + 1), "name")
     return spread.mapInPandas(records, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload string")
 
 
