@@ -19,7 +19,7 @@ HEADLINE = (
     "txt17_lexicon_indicators", "agg1_profile_lineitem", "agg7_cleaning_report", "agg12_length_histogram", "agg13_vocabulary_counts",
     "agg14_lexical_richness", "agg16_mean_tfidf", "top2_top_tokens_per_emotion", "spl1_stratified_split", "spl2_stratified_folds",
     "emb6_sif_document_vectors", "emb10_token_coverage", "evl1_macro_metrics", "evl5_auc_per_class", "evl6_roc_micro",
-    "key2_log_odds", "key7_centroid_similarity", "top6_keyword_table", "prd6_batch_summary", "mod5_weight_grid",
+    "key2_log_odds", "key7_centroid_similarity", "top6_keyword_table", "prd6_batch_summary", "mod5_weight_grid", "emb1_word2vec", "spl4_smote",
 )
 
 

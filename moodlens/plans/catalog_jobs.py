@@ -14,7 +14,7 @@ from moodlens.functions import vectors as V
 from moodlens.operators import embeddings, models, negative_sampling, prediction, smote, splits
 from moodlens.plans import base, training, twin
 from moodlens.plans.catalog_stats import _ALL_METRICS, _TOP
-from moodlens.plans.registry import query
+from moodlens.plans.registry import QUERIES, query
 from moodlens.plans.twin import r
 from moodlens.session import cut_lineage, scratch_path
 from moodlens.sources import derived, sinks
@@ -214,6 +214,31 @@ def _(spark, sf):
     return models.cv_metrics(models.cross_validate(train, lambda rows, weight: models.fit_forest(rows, FOREST, weight), k=3))
 
 
+@query("mod6_cv_in_range", "SELECT 3 AS folds, TRUE AS in_range, TRUE AS better_than_chance")
+def _(spark, sf):
+    train = _part(_vectors_table(spark, sf), "train")
+    found = models.cv_metrics(models.cross_validate(train, lambda rows, weight: models.fit_forest(rows, FOREST, weight), k=3))
+    each = [F.col(c) for c in ("precision", "recall", "f1", "auc")]
+    return found.select("folds", ((F.least(*each) >= 0) & (F.greatest(*each) <= 1)).alias("in_range"), (F.col("auc") > 0.5).alias("better_than_chance"))
+
+
+@query("mod7_importance_rules", "SELECT 'Random Forest' AS model, 16 AS n_features, 1.0::DOUBLE AS total, 0 AS n_negative UNION ALL SELECT 'Boosting', 16, 1.0::DOUBLE, 0")
+def _(spark, sf):
+    run, parts = _trained(spark, sf), []
+    for name in (training.FOREST, training.BOOSTING):
+        parts.append(models.importance_table(spark, run.importances[name]).agg(
+            F.count("*").alias("n_features"), F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("n_negative")
+        ).select(F.lit(name).alias("model"), "n_features", "total", "n_negative"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("top7_importance_order", "SELECT 15 AS n, 15 AS n_distinct, TRUE AS not_below_the_rest")
+def _(spark, sf):
+    values = _trained(spark, sf).importances[training.BOOSTING]
+    top = models.importance_table(spark, values, 15)
+    return top.agg(F.count("*").alias("n"), F.count_distinct("feature").alias("n_distinct"), (F.min("importance") >= sorted(values)[0]).alias("not_below_the_rest"))
+
+
 @query("mod7_importances")
 def _(spark, sf):
     return models.importance_table(spark, _trained(spark, sf).importances[training.FOREST])
@@ -224,6 +249,21 @@ def _(spark, sf):
     return models.importance_table(spark, _trained(spark, sf).importances[training.BOOSTING], 15)
 
 
+FULL = training.TrainOptions(vector_size=16, window=3, min_count=5, epochs=1, folds=2, balancing="Class weights", use_sif=True, remove_pc=True,
+                             forest=FOREST, boost=models.BoostOptions(rounds=4, max_depth=3, patience=2))
+
+
+@query("mod8_all_parts", """WITH codes AS (SELECT Emotion, dense_rank() OVER (ORDER BY Emotion) - 1 AS label FROM (SELECT DISTINCT Emotion FROM split))
+ SELECT m.model, c.label, count(*) AS n, TRUE AS proper FROM split s JOIN codes c ON s.Emotion = c.Emotion JOIN (VALUES ('Random Forest'), ('Boosting'), ('Ensemble')) AS m(model) ON TRUE
+ WHERE s.split = 'test' GROUP BY ALL""")
+def _(spark, sf):
+    # subsampling, weighting, component removal, cross-validation, class weights, early stopping and weight search
+    run = training.train_and_evaluate(base.staged(spark, sf), FULL)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    marked = run.predictions.withColumn("ok", F.abs(total - 1) < 1e-4)
+    return marked.groupBy("model", "label").agg(F.count("*").alias("n"), F.bool_and("ok").alias("proper"))
+
+
 def _scorer(spark, sf) -> training.Scorer:
     def make():
         path = _trained(spark, sf).scorer.save(scratch_path(spark, "scorer"))
@@ -281,6 +321,16 @@ def _(spark, sf):
     return spark.read.parquet(path).select("review_id", "text", "model", "word_count")
 
 
+_KNOWN_SQL = ", ".join(f"('{e}')" for _, e in lexicons.KNOWN_EXAMPLES)
+
+
+@query("evl12_example_counts", f"""SELECT 'review' AS source, {twin.emotion('Score')} AS expected, count(*) AS n, TRUE AS n_passed_fits FROM reviews GROUP BY ALL
+ UNION ALL SELECT 'known example', e, count(*), TRUE FROM (VALUES {_KNOWN_SQL}) AS t(e) GROUP BY ALL""")
+def _(spark, sf):
+    found = QUERIES["evl12_known_examples"](spark, sf)
+    return found.select("source", "expected", "n", F.col("n_passed").between(0, F.col("n")).alias("n_passed_fits"))
+
+
 @query("evl12_known_examples")
 def _(spark, sf):
     known = spark.createDataFrame([(-1 - i, t, e) for i, (t, e) in enumerate(lexicons.KNOWN_EXAMPLES)],

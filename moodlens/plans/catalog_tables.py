@@ -257,6 +257,15 @@ def _(spark, sf):
     return vocabulary.stem_vocabulary(base.freq(base.cleaned(spark, sf)))
 
 
+@query("txt11_stem_rules", f"""SELECT token, n, TRUE AS no_longer, CASE WHEN token IN ({', '.join(repr(w) for w in lexicons.PROTECTED_WORDS)}) THEN TRUE END AS kept_if_protected
+ FROM token_freq""")
+def _(spark, sf):
+    # a step may add one letter; protected words stay as they are
+    stems = vocabulary.stem_vocabulary(base.freq(base.cleaned(spark, sf)))
+    kept = F.when(F.col("token").isin(*lexicons.PROTECTED_WORDS), F.col("stem") == F.col("token"))
+    return stems.select("token", "n", (F.length("stem") <= F.length("token") + 1).alias("no_longer"), kept.alias("kept_if_protected"))
+
+
 @query("txt12_clean_text", "SELECT review_id, n_tokens, clean_text FROM cleaned_all")
 def _(spark, sf):
     return base.cleaned_all(spark, sf).select("review_id", "n_tokens", "clean_text")
