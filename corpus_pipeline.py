@@ -29,7 +29,9 @@ TOKENIZER = "word_bpe_49k.json"
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ratios = quality_rules.log_ratios(docs, quality_rules.trusted_ids(table(spark, sf_dir, "labels")))
-    return quality_rules.judge(docs.select(*COLUMNS), ratios).where("kept").select(*COLUMNS)
+    # stored, as a filter on computed columns would be pushed below them and work them out again for every window
+    judged = stored(quality_rules.judge(docs.select(*COLUMNS), ratios).select(*COLUMNS, "kept"), "judged")
+    return judged.where("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    found = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    found = bpe.encode(docs.select("doc_id", "text"), path, decoded="decoded", keep_text=False)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

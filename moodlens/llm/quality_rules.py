@@ -95,7 +95,8 @@ def with_repeats(df: DataFrame, words: str, out: str, window: int = WINDOW) -> D
 def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """Add ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept``.
 
-    Input columns of these names are replaced.
+    Input columns of these names are replaced. Store the result before filtering on its columns: the optimizer
+    pushes filters below a projection and would repeat its work.
     """
     text = whole(F.col("text"))
     df = docs.withColumn("_words", pieces(text, SPACES))
