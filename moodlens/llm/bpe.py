@@ -21,13 +21,17 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from moodlens.llm.cuts import CACHE, CutMemory, slices
 
+#: Marks that the pattern never joins with letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 #: Distinct new words in one trie.
 TRIE_WORDS = 20_000
 #: Remembered token pairs.
@@ -65,6 +69,10 @@ class Bpe:
         (split,) = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.pattern = regex.compile(split)
         self.symbols = byte_symbols()
+        self.table = dict(enumerate(self.symbols))
+        # tokens by their text, without end mark and with it
+        self.plain = {t: i for t, i in self.vocab.items() if not t.endswith(self.end) or t == self.end}
+        self.ended = {t.removesuffix(self.end): i for t, i in self.vocab.items() if t.endswith(self.end) and t != self.end}
         self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
@@ -111,11 +119,20 @@ class Bpe:
 
     def _last(self, text: str, ended: bool, last: list[int]) -> int:
         """The last token of the prefix ``text``, given those of all shorter prefixes by their length."""
-        n, vocab, mark = len(text), self.vocab, self.end if ended else ""
-        for k in range(max(0, n - self.longest), n):
-            token = vocab.get(text[k:] + mark)
-            if token is not None and (self._fits(last[k], token) if k else self._stands(token)):
-                return token
+        n, get, pairs = len(text), (self.ended if ended else self.plain).get, self.pairs
+        # there is only one; most often it prolongs the token before it, so that is tried first
+        before = n - 1 - self.width[last[n - 1]] if n > 1 else 0
+        for k in (before, *range(max(0, n - self.longest), n)):
+            token = get(text[k:])
+            if token is not None:
+                if not k:
+                    fits = self._stands(token)
+                else:
+                    fits = pairs.get((last[k], token))
+                    if fits is None:
+                        fits = self._fits(last[k], token)
+                if fits:
+                    return token
         raise ValueError(f"no encoding for {text!r}")
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
@@ -151,6 +168,16 @@ class Bpe:
 
     def _pieces(self, cut: str) -> list[int | str]:
         """The words of a cut in byte symbols, and the ids of special tokens."""
+        # most cuts are a word of letters and marks behind it, for which the pattern's answer is plain
+        word = cut.rstrip(MARKS)
+        if word.isalpha():
+            tail = [cut[len(word) :]] if len(word) < len(cut) else []
+            if word.isascii():
+                return [word.lower(), *tail]
+            text = unicodedata.normalize("NFC", word)
+            text = (text.replace("Σ", "σ") if "Σ" in text else text).lower()
+            if text.isalpha():
+                return [text.encode().decode("latin-1").translate(self.table), *tail]
         out: list[int | str] = []
         for part in self.special_cut.split(cut) if self.special_cut and "<" in cut else [cut]:
             if part in self.special:
@@ -162,9 +189,10 @@ class Bpe:
                     out.append(w if w.isascii() and w.isprintable() else "".join([self.symbols[b] for b in w.encode()]))
         return out
 
-    def encode_cuts(self, cuts: list[str]) -> list[list[int]]:
-        """Ids of cuts, by way of a trie for each ``TRIE_WORDS`` of them."""
-        out = []
+    def encode_cuts(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids of cuts, by way of a trie for each ``TRIE_WORDS`` of them."""
+        sizes: list[int] = []
+        out: list[int] = []
         for k in range(0, len(cuts), TRIE_WORDS):
             parts = [self._pieces(c) for c in cuts[k : k + TRIE_WORDS]]
             if len(self.known) > CACHE:
@@ -172,16 +200,18 @@ class Bpe:
             known = self.known
             known |= self.encode_words({w for p in parts for w in p if isinstance(w, str) and w not in known})
             for part in parts:
-                ids: list[int] = []
+                before = len(out)
                 for w in part:
-                    ids += known[w] if isinstance(w, str) else [w]
-                out.append(ids)
-        return out
+                    out += known[w] if isinstance(w, str) else [w]
+                sizes.append(len(out) - before)
+        return np.array(sizes, np.int64), np.array(out, np.int32)
 
     def decode(self, ids: list[int] | None) -> str:
         """The tokens of the ids joined by a space; ids without a token are left out."""
-        tokens, n = self.tokens, len(self.tokens)
-        return " ".join([tokens[i] for i in ids or () if i is not None and 0 <= i < n])
+        tokens, ids = self.tokens, ids or []
+        if ids and not 0 <= min(ids) <= max(ids) < len(tokens):
+            ids = [i for i in ids if 0 <= i < len(tokens)]
+        return " ".join(map(tokens.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -194,16 +224,29 @@ def _with_column(df: DataFrame, name: str, kind: object) -> tuple[DataFrame, Str
     return kept, StructType([*kept.schema.fields, StructField(name, kind)])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of ``text``. ``path`` is the tokenizer file, present on every executor."""
+def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None, keep_text: bool = True) -> DataFrame:
+    """``docs`` with the token ids of ``text``. ``path`` is the tokenizer file, present on every executor.
+
+    ``decoded`` names a column for the text decoded from the ids, in the same pass as encoding: one worker per task
+    holds the tokenizer, and ids do not travel twice. Without ``keep_text`` the input text is left out.
+    """
     kept, schema = _with_column(docs, out, ArrayType(IntegerType()))
+    if decoded:
+        kept = kept.drop(decoded)
+        schema = StructType([f for f in schema.fields if f.name != decoded] + [StructField(decoded, StringType())])
+    if not keep_text:
+        schema = StructType([f for f in schema.fields if f.name != text])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for whole in parts:
             for part in slices(whole, text):
                 offsets, ids = bpe.memory.encode([t or "" for t in part.column(text).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))], names=[*part.schema.names, out])
+                columns = {n: c for n, c in zip(part.schema.names, part.columns) if keep_text or n != text}
+                columns[out] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+                if decoded:
+                    columns[decoded] = pa.array([bpe.decode(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:])], pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return kept.mapInArrow(batches, schema)
 
@@ -216,7 +259,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
         bpe = load(path)
         for whole in parts:
             for part in slices(whole, ids):
-                texts = [bpe.decode(x) for x in part.column(ids).to_pylist()]
+                lists = part.column(ids)
+                flat, ends = pc.fill_null(lists.flatten(), -1).to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+                texts = [bpe.decode(flat[a:b].tolist()) for a, b in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
 
     return kept.mapInArrow(batches, schema)

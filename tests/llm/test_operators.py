@@ -60,6 +60,9 @@ def test_bpe(docs, rows, nothing):
         ids = tokenizer.encode(r[1] or "", add_special_tokens=False).ids
         want[r[0], tuple(ids), tokenizer.decode(ids, skip_special_tokens=False)] += 1
     assert bag(found.select("doc_id", "ids", "decoded")) == want
+    once = bpe.encode(docs, PATH, decoded="decoded", keep_text=False)
+    assert set(once.columns) == {*docs.columns, "decoded"} - {"text"}
+    assert bag(once.select("doc_id", "ids", "decoded")) == want
     assert bpe.decode(bpe.encode(nothing, PATH), PATH).count() == 0
 
 
