@@ -17,19 +17,20 @@ SLICE_BYTES = 4 << 20
 class CutMemory:
     """Cuts texts at spaces and line feeds and encodes every distinct new cut once, with ``learn``.
 
-    ``learn`` takes cuts and gives the number of ids of each, and the ids of all. When ``CACHE`` cuts are known, it forgets all and starts anew.
+    ``learn`` takes cuts and gives the number of ids of each, and the ids of all. When ``limit`` cuts are known, it forgets all and starts anew.
     """
 
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int | None = None) -> None:
         self.learn = learn
+        self.limit = limit or CACHE
         self._forget()
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
-        self.start = np.zeros(CACHE, np.int64)
-        self.length = np.zeros(CACHE, np.int64)
+        self.start = np.zeros(self.limit, np.int64)
+        self.length = np.zeros(self.limit, np.int64)
 
     def _add(self, cuts: list[str]) -> None:
         sizes, flat = self.learn(cuts)
@@ -49,7 +50,7 @@ class CutMemory:
         cuts = [t.replace("\n", " ").split(" ") for t in texts]
         flat = [c for cut in cuts for c in cut]
         new = list(dict.fromkeys(c for c in flat if c not in self.slots))
-        if len(self.slots) + len(new) > CACHE and self.slots:
+        if len(self.slots) + len(new) > self.limit and self.slots:
             self._forget()
             new = list(dict.fromkeys(flat))
         if new:

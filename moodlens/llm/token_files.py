@@ -49,6 +49,8 @@ SAMPLE, SAMPLE_IDS = 1_000, 2_048
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+#: Distinct cuts that a task remembers, about 200 bytes each.
+CUTS = 800_000
 #: Parts of cuts that are encoded in one call.
 JOINED = 2_000
 #: Partitions of files when they are read back, at most.
@@ -107,7 +109,7 @@ def memory(path: str) -> CutMemory:
             sizes.append(len(flat) - before)
         return np.array(sizes, np.int64), np.array(flat, np.int32)
 
-    return CutMemory(learn)
+    return CutMemory(learn, CUTS)
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, width: int) -> bytes:
