@@ -53,7 +53,8 @@ def points(docs: DataFrame) -> DataFrame:
     )
     rows = stored(rows, "points")
     same = ["key", "text_crc32", "size"]
-    first = rows.groupBy(*same).agg(F.min(F.struct("id", "d2", "d3")).alias("first"))
+    # stored, so that both sides of the join are dealt out and a hot group can be split
+    first = stored(rows.groupBy(*same).agg(F.min(F.struct("id", "d2", "d3")).alias("first")), "groups")
     return rows.join(first, same).select("doc_id", *same, "id", F.array("d0", "d1", "first.d2", "first.d3").alias("at"))
 
 
