@@ -2,7 +2,9 @@
 
 The ratio compares two multinomials over hashed word unigrams and bigrams: one of trusted target documents,
 one of the whole raw corpus. A document's score is the mean log ratio of its n-grams, so its length does not
-matter, and a fixed threshold decides every document. Nothing but the bucket counts is shuffled: a row of
+matter, and a fixed threshold decides every document. The target of labelled documents is smoothed by the raw
+distribution: ``PRIOR`` n-grams dealt out as the raw corpus has them stand beside the counted ones. So ratios of few
+labels stay near 0 and keep documents; without labels every ratio is 0 and only the counting rules reject. Nothing but the bucket counts is shuffled: a row of
 ``BUCKETS`` sums for each task. The ratios reach the rows as one bounded array, by a scalar subquery.
 
 Null texts have no words. Rows are judged one by one, so repeated rows and ties give repeated results, and
@@ -20,6 +22,8 @@ from moodlens.llm.common import SPACES, pieces, whole
 BUCKETS = 32_768
 #: Added to every bucket's count.
 SMOOTHING = 1.0
+#: N-grams of the raw distribution that the counts of labelled documents are smoothed by.
+PRIOR = 300_000.0
 #: Mean log ratio below which a document is rejected.
 THRESHOLD = -0.07
 #: Labelled documents that the trusted multinomial is fitted on, at most.
@@ -42,16 +46,19 @@ def _features(hashes: Column, buckets: int) -> Column:
 
 
 def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of documents labelled good: at most ``rows``, chosen by the hash of their id."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    """``doc_id, quality`` of documents labelled good: at most ``rows``, chosen by the hash of their id."""
+    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR) -> DataFrame:
     """One row with ``ratios``: log p(bucket | trusted) - log p(bucket | raw), an array of ``buckets`` doubles.
 
-    ``trusted`` holds the ids of the target documents and must be of bounded size: it is broadcast.
+    ``trusted`` holds the ids of the target documents and must be of bounded size: it is broadcast. Ids with their
+    ``quality``, as ``trusted_ids`` gives them, are a sample of the target, which may be thin or empty: ``prior`` raw
+    n-grams smooth it. Ids alone are the target as it stands, with ``smoothing`` added to each bucket as on the raw side.
     """
+    sampled = "quality" in trusted.columns
     mark = F.broadcast(trusted.select(F.col("doc_id").alias("_trusted_id")))
     marked = docs.select("doc_id", "text").join(mark, F.col("doc_id") == F.col("_trusted_id"), "left")
     grams = marked.select(
@@ -67,11 +74,15 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoo
     )
 
     def share(count: Column, total: Column) -> Column:
-        return F.log((count + F.lit(smoothing)) / (total + F.lit(smoothing * buckets)))
+        return (count + F.lit(smoothing)) / (total + F.lit(smoothing * buckets))
 
-    return one.select(
-        F.transform("cells", lambda c: share(c["target"], F.col("n_target")) - share(c["raw"], F.col("n_raw"))).alias("ratios")
-    )
+    def ratio(c: Column) -> Column:
+        raw = share(c["raw"], F.col("n_raw"))
+        if not sampled:
+            return F.log(share(c["target"], F.col("n_target"))) - F.log(raw)
+        return F.log((c["target"] / raw + F.lit(prior)) / (F.col("n_target") + F.lit(prior)))
+
+    return one.select(F.transform("cells", ratio).alias("ratios"))
 
 
 def with_repeats(df: DataFrame, words: str, out: str, window: int = WINDOW) -> DataFrame:

@@ -71,6 +71,26 @@ def test_quality_query(spark, sf_dir, texts):
         assert tuple(r[n] for n in names) == brute.counts(texts[r["doc_id"]])
 
 
+@pytest.mark.parametrize(("size", "least"), [("sf0.001", 0.7), ("sf0.01", 0.8)])
+def test_quality_keeps_unlabelled_documents(spark, size, least):
+    folder = f"/root/testdata/{size}"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    known = {r["doc_id"] for r in labels.collect()}
+    clean = [r for r in catalog.QUERIES["op8_quality_rules"](spark, folder).collect() if r["doc_id"] not in known and not r["base_failed"]]
+    assert np.mean([r["kept"] for r in clean]) > least
+    none = quality_rules.log_ratios(docs, quality_rules.trusted_ids(labels.where("false")))
+    assert all(r["score"] == 0 and r["kept"] != r["base_failed"] for r in quality_rules.judge(docs, none).select("score", "kept", "base_failed").collect())
+
+
+def test_quality_few_labels_reject_no_good_document(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, good = table(spark, folder, "documents"), table(spark, folder, "labels").where("quality = 1")
+    ratios = quality_rules.log_ratios(docs, quality_rules.trusted_ids(good.where("doc_id % 10 = 0")))
+    known = {r["doc_id"] for r in good.collect()}
+    judged = [r for r in quality_rules.judge(docs, ratios).select("doc_id", "kept", "base_failed").collect() if r["doc_id"] in known and not r["base_failed"]]
+    assert np.mean([r["kept"] for r in judged]) > 0.95
+
+
 def test_simhash_query(spark, sf_dir, texts):
     ids = sorted(texts)
     prints = [brute.fingerprint(texts[k]) for k in ids]
