@@ -4,8 +4,11 @@ The ratio compares two multinomials over hashed word unigrams and bigrams: one o
 one of the whole raw corpus. A document's score is the mean log ratio of its n-grams, so its length does not
 matter, and a fixed threshold decides every document. The target of labelled documents is smoothed by the raw
 distribution: ``PRIOR`` n-grams dealt out as the raw corpus has them stand beside the counted ones. So ratios of few
-labels stay near 0 and keep documents; without labels every ratio is 0 and only the counting rules reject. Nothing but the bucket counts is shuffled: a row of
-``BUCKETS`` sums for each task. The ratios reach the rows as one bounded array, by a scalar subquery.
+labels stay near 0 and keep documents; without labels every ratio is 0 and only the counting rules reject.
+
+All good labels count, however many there are: their ids meet the documents in a shuffle join. Besides that, only
+bucket counts are shuffled: a row of ``BUCKETS`` sums for each task. The ratios reach the rows as one bounded
+array, by a scalar subquery.
 
 Null texts have no words. Rows are judged one by one, so repeated rows and ties give repeated results, and
 further columns of the input pass through untouched. A text without n-grams scores 0.
@@ -26,8 +29,6 @@ SMOOTHING = 1.0
 PRIOR = 300_000.0
 #: Mean log ratio below which a document is rejected.
 THRESHOLD = -0.07
-#: Labelled documents that the trusted multinomial is fitted on, at most.
-TRUSTED_ROWS = 20_000
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -45,22 +46,22 @@ def _features(hashes: Column, buckets: int) -> Column:
     return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """``doc_id, quality`` of documents labelled good: at most ``rows``, chosen by the hash of their id."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id, quality`` of all documents labelled good."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR) -> DataFrame:
     """One row with ``ratios``: log p(bucket | trusted) - log p(bucket | raw), an array of ``buckets`` doubles.
 
-    ``trusted`` holds the ids of the target documents and must be of bounded size: it is broadcast. Ids with their
-    ``quality``, as ``trusted_ids`` gives them, are a sample of the target, which may be thin or empty: ``prior`` raw
-    n-grams smooth it. Ids alone are the target as it stands, with ``smoothing`` added to each bucket as on the raw side.
+    ``trusted`` holds the distinct ids of the target documents and may be of any size. Ids with their ``quality``, as
+    ``trusted_ids`` gives them, are a sample of the target, which may be thin or empty: ``prior`` raw n-grams smooth it. Ids alone are the target as it stands, with ``smoothing`` added to each bucket as on the raw side.
     """
     sampled = "quality" in trusted.columns
-    mark = F.broadcast(trusted.select(F.col("doc_id").alias("_trusted_id")))
-    marked = docs.select("doc_id", "text").join(mark, F.col("doc_id") == F.col("_trusted_id"), "left")
+    mark = trusted.select(F.col("doc_id").alias("_trusted_id"), F.lit(0).cast("long").alias("_trusted_deal")).hint("shuffle_hash")
+    # null ids meet nothing and are dealt out by their text, so that they do not go to one task
+    deal = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(0).alias("_deal")
+    marked = docs.select("doc_id", "text", deal).join(mark, (F.col("doc_id") == F.col("_trusted_id")) & (F.col("_deal") == F.col("_trusted_deal")), "left")
     grams = marked.select(
         F.col("_trusted_id").isNotNull().cast("long").alias("in_target"),
         F.explode(_features(_hashes(pieces(whole(F.col("text")), SPACES)), buckets)).alias("bucket"),

@@ -220,6 +220,19 @@ def test_quality_score(spark):
         assert abs(got[k] - (sum(want) / len(want) if want else 0.0)) < 1e-9
 
 
+def test_quality_counts_every_good_label(spark):
+    """A good document beyond the 20,000th label adds to the target as the others do."""
+    labels = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    trusted = quality_rules.trusted_ids(labels.union(labels).union(spark.createDataFrame([(None, 1), (50_001, 0)], "doc_id bigint, quality int")))
+    assert trusted.count() == 50_000
+    docs = labels.select("doc_id", F.concat(F.lit("w"), F.col("doc_id") % 7).alias("text"))
+    docs = docs.union(spark.createDataFrame([(None, "w1"), (50_001, "w2")], "doc_id bigint, text string"))
+    ratios = quality_rules.log_ratios(docs, trusted, buckets=64)
+    assert "ShuffledHashJoin" in ratios._jdf.queryExecution().executedPlan().toString()
+    empty = math.log(quality_rules.PRIOR / (quality_rules.PRIOR + 50_000))
+    assert all(abs(x) < 0.01 or abs(x - empty) < 1e-6 for x in ratios.first()["ratios"])
+
+
 def pages_of(rows: list[tuple]) -> list[tuple]:
     big = "<html>" + "payload " * 200
     extra = [(500, "http://a b\r\nX: y", big), (501, None, big), (502, "u", big), (502, "u", big), (None, "v", big), (503, "w", big + "é"), (504, "w", "<p>"), (505, "w", "<p>")]
