@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates; column functions only.
 
-A block is a line of a text. It meets a template if it has at least ``CONTAINMENT`` of the template's distinct
-words. The join keeps every such pair and works by filters that lose none:
+A block is a run of consecutive words, twice as many as the template has (``width``), at every place of a text. On one
+line it meets a template if it has at least ``CONTAINMENT`` of the template's distinct words. A block that spans lines
+must have them in the template's order, as a wrapped notice has: words of different lines in any order say nothing.
+Shorter lines are one block. The join keeps every such pair and works by filters that lose none:
 
 * words are ordered by their count over the whole corpus, rarest first;
 * prefix: a block that meets a template of n words with a need of k has one of its n - k + 1 rarest words;
@@ -30,6 +32,8 @@ from moodlens.llm.decontaminate import DOC, SEPARATORS, WORD
 
 #: Share of a template's distinct words that a block must have.
 CONTAINMENT = 0.8
+#: Words that a block has at least.
+SHORTEST = 16
 # The base phrases with their labels, and license sentences.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 TEMPLATES = (
@@ -49,6 +53,26 @@ def needed(words: int, containment: float = CONTAINMENT) -> int:
     return max(1, math.ceil(containment * words - 1e-9))
 
 
+def width(words: int) -> int:
+    """Words of a block for a template of ``words`` words."""
+    return max(2 * words, SHORTEST)
+
+
+def _in_order(places: Column, n: Column) -> Column:
+    """The length of the longest rising sequence among places from 1 to ``n``."""
+
+    def longer(best: Column, v: Column) -> Column:
+        more = F.coalesce(F.array_max(F.slice(best, 1, v - 1)), F.lit(0)) + 1
+        return F.transform(best, lambda x, i: F.when(i + 1 == v, F.greatest(x, more)).otherwise(x))
+
+    return F.array_max(F.aggregate(places, F.array_repeat(F.lit(0), n), longer))
+
+
+def _best(words: Column, starts: Column, size: Column, value) -> Column:
+    """The largest ``value`` of the blocks of ``size`` words at ``starts``; 0 if there is none."""
+    return F.coalesce(F.array_max(F.transform(starts, lambda i: value(F.slice(words, i + 1, size)))), F.lit(0))
+
+
 def _strings(values: list[str]) -> Column:
     return F.split(F.lit(" ".join(values)), " ")
 
@@ -67,20 +91,20 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, base: tuple = BASE, cont
 
     ``score`` is 1 with a base phrase, else the best containment of a block that meets a template, else 0.
     """
-    sets = [(sorted(set(re.findall(WORD, t))), label) for t, label in templates]
+    sets = [(list(dict.fromkeys(re.findall(WORD, t))), label, width(len(re.findall(WORD, t)))) for t, label in templates]
     order = word_order(docs, sorted({w for t, _ in [*templates, *base] for w in re.findall(WORD, t)}))
     place = {w: k for k, w in enumerate(order)}
     index = []
-    for words, label in sets:
+    for words, label, size in sets:
         ranked, need = sorted(words, key=place.get), needed(len(words), containment)
-        index += [(w, " ".join(ranked), label, i, len(ranked), need) for i, w in enumerate(ranked[: len(ranked) - need + 1])]
+        index += [(w, " ".join(words), label, i, len(ranked), need, size) for i, w in enumerate(ranked[: len(ranked) - need + 1])]
     anchors = []
     for phrase, label in base:
         words = phrase.split(" ")
         offset = min(range(len(words)), key=lambda k: (place[words[k]], k))
         anchors.append((words[offset], phrase, label, offset, len(words)))
     spark = docs.sparkSession
-    prefixes = F.broadcast(spark.createDataFrame(index, "word string, ranked string, label string, i int, n int, need int"))
+    prefixes = F.broadcast(spark.createDataFrame(index, "word string, template string, label string, i int, n int, need int, width int"))
     phrases = F.broadcast(spark.createDataFrame(anchors, "word string, phrase string, label string, offset int, size int"))
     rare = sorted({x[0] for x in [*index, *anchors]}, key=place.get)
 
@@ -96,14 +120,39 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, base: tuple = BASE, cont
     places = at.where(same).select(*DOC, "label", start.cast("long").alias("start"), F.lit(1.0).alias("score"))
 
     blocks = hopeful.select(*DOC, F.explode(F.split("low", "\n")).alias("line"))
-    signed = blocks.select(*DOC, F.array_intersect(_strings(order), pieces(F.col("line"), SEPARATORS)).alias("sig")).where(F.size("sig") > 0)
-    tokens = signed.select(*DOC, "sig", F.posexplode("sig").alias("j", "word")).join(prefixes, "word")
+    blocks = blocks.withColumn("line", pieces(F.col("line"), SEPARATORS))
+    signed = blocks.select(*DOC, "line", F.array_intersect(_strings(order), "line").alias("sig")).where(F.size("sig") > 0)
+    tokens = signed.select(*DOC, "line", "sig", F.posexplode("sig").alias("j", "word")).join(prefixes, "word")
     rest = 1 + F.least(F.col("n") - F.col("i") - 1, F.size("sig") - F.col("j") - 1)
     possible = tokens.where((F.size("sig") >= F.col("need")) & (rest >= F.col("need") - F.least("i", "j")))
-    overlap = F.size(F.array_intersect(F.split("ranked", " "), F.col("sig")))
-    met = possible.where(overlap >= F.col("need")).select(*DOC, "label", none.cast("long").alias("start"), (overlap / F.col("n")).alias("score"))
+    template = F.split("template", " ")
+
+    def common(block: Column) -> Column:
+        return F.size(F.array_intersect(template, block))
+
+    def template_words(words: Column, last: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), last), lambda i: F.array_contains(template, F.get(words, i)))
+
+    whole_line, line_end = common(F.col("sig")), F.size("line") - 1
+    best = _best(F.col("line"), template_words(F.col("line"), line_end), F.col("width"), common)
+    overlap = F.when(whole_line < F.col("need"), 0).when(F.size("line") <= F.col("width"), whole_line).otherwise(best)
+
+    def met_by(rows: DataFrame, words: Column) -> DataFrame:
+        return rows.where(words >= F.col("need")).select(*DOC, "label", none.cast("long").alias("start"), (words / F.col("n")).alias("score"))
+
+    # over all lines: the words around each prefix word, and the blocks of them that begin with a template word before it
+    around = hopeful.where(F.contains("low", F.lit("\n"))).select(*DOC, "words", F.posexplode("words").alias("pos", "word")).join(prefixes, "word")
+    before = F.least(F.col("pos"), F.col("width") - 1)
+    near = around.withColumns({"near": F.slice("words", F.col("pos") - before + 1, before + F.col("width")), "before": before})
+
+    def ordered(block: Column) -> Column:
+        places = F.filter(F.transform(block, lambda w: F.array_position(template, w).cast("int")), lambda v: v > 0)
+        return _in_order(places, F.col("n"))
+
+    chain = _best(F.col("near"), template_words(F.col("near"), F.col("before")), F.col("width"), ordered)
+    chain = F.when(common(F.col("near")) < F.col("need"), 0).otherwise(chain)
 
-    found = places.unionByName(met).groupBy(*DOC).agg(
+    found = places.unionByName(met_by(possible, overlap)).unionByName(met_by(near, chain)).groupBy(*DOC).agg(
         F.count("start").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
         F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.col("label")))).alias("base_labels"),
         F.array_sort(F.collect_set("label")).alias("labels"), F.max("score").alias("score"),

@@ -38,6 +38,16 @@ def test_license_containment(spark):
     assert got == {0: ("", 0.0), 1: ("rights-reserved", 1.0), 2: ("mit", 0.8), 3: ("gpl", 0.917)}
 
 
+def test_license_blocks_span_lines_and_cut_long_ones(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that"
+    gpl = "This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public\n# License as published"
+    filler = "word " * 400
+    texts = [bsd, filler + "\n" + bsd + "\n" + filler, gpl, f"all {filler} rights {filler} reserved", f"{filler} All rights reserved {filler}", "All rights\nreserved", "reserved\nrights all", filler + bsd.replace("\n", " ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs, base=(("never seen here", "x"),)).collect()}
+    assert got == {0: ("bsd", 1.0), 1: ("bsd", 1.0), 2: ("gpl", 1.0), 3: ("", 0.0), 4: ("rights-reserved", 1.0), 5: ("rights-reserved", 1.0), 6: ("", 0.0), 7: ("bsd", 1.0)}
+
+
 @pytest.mark.parametrize("containment", [0.5, 0.8, 1.0])
 def test_license_join_loses_no_pair(spark, containment):
     vocabulary = sorted({w for t, _ in licenses.TEMPLATES for w in t.split()})
