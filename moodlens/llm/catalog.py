@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlens.llm import bpe, byte_cnn, decontaminate, licenses, quality_rules, shards, simhash, substring, token_files, warc
-from moodlens.llm.common import table
+from moodlens.llm import bpe, byte_cnn, chat, decontaminate, hard_negatives, licenses, quality_rules, runs, shards, simhash, substring, token_files, warc
+from moodlens.llm.common import SPACES, pieces, table, whole
 from moodlens.session import scratch_path
 
 #: The tokenizer file that the token queries use.
@@ -186,3 +187,93 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score(docs, network).select(
         "doc_id", byte_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+OP11_SQL = """
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM kept a, kept b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) <= 5
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+#: A conversation added to the table: both turns hold marks of templates.
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+def _op12_sql() -> str:
+    escaped = "coalesce(text, '')"
+    for first in sorted({c[0] for c in chat.CONTROL}):
+        rests = "|".join(re.escape(c[1:]) for c in chat.CONTROL if c[0] == first)
+        escaped = rf"regexp_replace({escaped}, '{re.escape(first)}(\\*(?:{rests}))', '{first}\\\1', 'g')"
+    marks = len(chat.START) + len(chat.END) + 2
+    return rf"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{PLANTED}' UNION ALL SELECT -7, 1, '{chat.LOSS_ROLE}', '{PLANTED}'
+), learned AS (
+  SELECT *, CASE WHEN role = '{chat.LOSS_ROLE}' THEN coalesce(text, '') ELSE '' END AS loss FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(length(loss))::BIGINT AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+  sum({marks} + length(role) + length({escaped}))::BIGINT AS formatted_chars
+FROM learned GROUP BY conv_id
+"""
+
+
+@query("op12_chat", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], turns.schema)
+    return chat.digests(chat.format(turns.unionByName(planted)))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents whose id hashes to a multiple of ten get a periodic tail; the others are unchanged."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def tail(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        kept = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(kept, " ")).otherwise(F.lit(""))
+
+    # the words are bound once, not cut anew for every place
+    changed = F.get(F.transform(F.array(pieces(whole(F.col("text")), SPACES)), tail), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(with_periods(table(spark, sf_dir, "documents")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = found.withColumn("best", runs.longest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
