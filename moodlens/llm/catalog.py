@@ -84,23 +84,23 @@ FROM l
 
 def _op1_sql() -> str:
     base = ", ".join(f"('{p}', '{label}')" for p, label in licenses.BASE)
-    kinds = ", ".join(f"('{t}', '{label}')" for t, label in licenses.TEMPLATES)
+    kinds = ", ".join(f"('{t}', '{label}', {licenses.width(len(t.split()))})" for t, label in licenses.TEMPLATES)
     return rf"""
 WITH base AS (
   SELECT string_split(p, ' ') AS pw, label FROM (VALUES {base}) AS t(p, label)
 ), kinds AS (
-  SELECT list_distinct(string_split(t, ' ')) AS tw, label FROM (VALUES {kinds}) AS t(t, label)
-), docs AS (
-  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+  SELECT list_distinct(string_split(t, ' ')) AS tw, label, size, ceil({licenses.CONTAINMENT} * len(tw) - 1e-9) AS need
+  FROM (VALUES {kinds}) AS t(t, label, size)
 ), words AS (
-  SELECT doc_id, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), hits AS (
   SELECT doc_id, i - 1 AS start, label, 1.0::DOUBLE AS score FROM words, base, unnest(range(1, len(w) - len(pw) + 2)) AS t(i) WHERE w[i:i + len(pw) - 1] = pw
-), lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS lw FROM docs, unnest(string_split(low, chr(10))) AS t(line)
+), possible AS (
+  SELECT * FROM words, kinds WHERE len(list_intersect(tw, w)) >= need
 ), met AS (
-  SELECT doc_id, NULL AS start, label, len(list_intersect(tw, lw)) / len(tw)::DOUBLE AS score FROM lines, kinds
-  WHERE len(list_intersect(tw, lw)) >= ceil({licenses.CONTAINMENT} * len(tw) - 1e-9)
+  SELECT doc_id, NULL AS start, label, max(len(list_intersect(tw, w[i:i + size - 1]))) / any_value(len(tw))::DOUBLE AS score
+  FROM possible, unnest(range(1, greatest(len(w) - size + 1, 1) + 1)) AS t(i)
+  WHERE len(list_intersect(tw, w[i:i + size - 1])) >= need GROUP BY doc_id, label, tw
 ), found AS (
   SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word, max(score) AS score,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE start IS NOT NULL) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels

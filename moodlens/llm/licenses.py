@@ -1,22 +1,25 @@
 """License scans: an exact set-similarity join of text blocks with license templates; column functions only.
 
-A block is a run of consecutive words, twice as many as the template has (``width``), at every place of a text. On one
-line it meets a template if it has at least ``CONTAINMENT`` of the template's distinct words. A block that spans lines
-must have them in the template's order, as a wrapped notice has: words of different lines in any order say nothing.
-Shorter lines are one block. The join keeps every such pair and works by filters that lose none:
+A block is a run of consecutive words, twice as many as the template has (:func:`width`), at every place of a text;
+line feeds are separators like any other, and a shorter text is one block. A block meets a template if it has at
+least ``CONTAINMENT`` of the template's distinct words. The join finds every template that a block of a document meets,
+with filters that lose none:
 
 * words are ordered by their count over the whole corpus, rarest first;
-* prefix: a block that meets a template of n words with a need of k has one of its n - k + 1 rarest words;
-* length: a block with fewer than k template words meets nothing;
-* position: after a match at place i of the template and place j of the block, no more words can follow than the
-  shorter rest has.
+* prefix: a block that meets a template of n words with a need of k has one of its n - k + 1 rarest words, so only
+  the surroundings of these words, which hold all blocks around them, are looked at;
+* length: surroundings with fewer than k words of all templates hold no such block;
+* position: if the prefix word is the i-th of its template and the j-th of all template words around it, no more than
+  min(i, j) common words are rarer, and no more than the shorter rest has are as frequent.
 
-Pairs that pass are compared in full. Base phrases are templates of consecutive words: the rarest word of a phrase
-gives its candidates, and the words around it are compared in order. Only words of templates are ever joined, so
-texts stay where they are; one row per document with a match is shuffled. The templates bound all that is broadcast.
+What passes is compared block by block. Base phrases are templates of consecutive words: the rarest word of a phrase
+gives its candidates, and the words around it are compared in order.
 
-Null texts have no words. Documents are told apart by id and text hash: repeated rows get a row each, and null ids
-are kept. No row is lost: documents without a match get zero counts, nulls and empty label strings.
+The templates are a bounded list and enter the plan as literals, so the join is done inside each row: a text is cut
+into words once, texts without a prefix word are passed over, and nothing is shuffled but the word counts.
+
+Null texts have no words. Every row gets its row, repeated ones and null ids too; documents without a match have zero
+counts, nulls and empty label strings. Further columns are ignored. No rows give none.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodlens.llm.common import ascii_lower, pieces, whole
-from moodlens.llm.decontaminate import DOC, SEPARATORS, WORD
+from moodlens.llm.common import NOT_WORD, ascii_lower, pieces, whole
+from moodlens.llm.decontaminate import SEPARATORS, WORD
 
 #: Share of a template's distinct words that a block must have.
 CONTAINMENT = 0.8
@@ -58,32 +61,62 @@ def width(words: int) -> int:
     return max(2 * words, SHORTEST)
 
 
-def _in_order(places: Column, n: Column) -> Column:
-    """The length of the longest rising sequence among places from 1 to ``n``."""
+def word_order(docs: DataFrame, words: list[str]) -> list[str]:
+    """The template words by their count over all documents, rarest first, ties by the word."""
+    spark = docs.sparkSession
+    wanted = F.broadcast(spark.createDataFrame([(w,) for w in words], "word string"))
+    every = docs.select(F.explode(pieces(whole(F.col("text")), SEPARATORS)).alias("w")).select(ascii_lower(F.col("w")).alias("word"))
+    counts = dict(every.join(wanted, "word").groupBy("word").agg(F.count("*")).collect())
+    return sorted(words, key=lambda w: (counts.get(w, 0), w))
 
-    def longer(best: Column, v: Column) -> Column:
-        more = F.coalesce(F.array_max(F.slice(best, 1, v - 1)), F.lit(0)) + 1
-        return F.transform(best, lambda x, i: F.when(i + 1 == v, F.greatest(x, more)).otherwise(x))
 
-    return F.array_max(F.aggregate(places, F.array_repeat(F.lit(0), n), longer))
+def _strings(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values))
 
 
-def _best(words: Column, starts: Column, size: Column, value) -> Column:
-    """The largest ``value`` of the blocks of ``size`` words at ``starts``; 0 if there is none."""
-    return F.coalesce(F.array_max(F.transform(starts, lambda i: value(F.slice(words, i + 1, size)))), F.lit(0))
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _strings(values: list[str]) -> Column:
-    return F.split(F.lit(" ".join(values)), " ")
+def _around(words: Column, i: Column, size: int) -> Column:
+    """The words of all blocks of ``size`` words that hold the word at ``i``."""
+    first = F.greatest(i - (size - 1), F.lit(0))
+    return F.slice(words, first + 1, i - first + size)
 
 
-def word_order(docs: DataFrame, words: list[str]) -> list[str]:
-    """The template words by their count over all documents, rarest first, ties by the word."""
-    spark = docs.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(w,) for w in words], "word string"))
-    every = docs.select(F.explode(pieces(whole(F.col("text")), SEPARATORS)).alias("w")).select(ascii_lower(F.col("w")).alias("word"))
-    counts = dict(every.join(wanted, "word").groupBy("word").agg(F.count("*")).collect())
-    return sorted(words, key=lambda w: (counts.get(w, 0), w))
+def _containment(words: Column, places: Column, ranked: list[str], size: int, need: int) -> Column:
+    """The most template words that a block of ``size`` words has, 0 if none has ``need``.
+
+    ``ranked`` holds the template's words, rarest first. ``places`` are those of prefix words of any template, with the
+    template words of any kind around them in the same order.
+    """
+    template, n = _strings(ranked), len(ranked)
+    prefix = _strings(ranked[: n - need + 1])
+
+    def possible(p: Column) -> Column:
+        length = F.size(p["around"]) >= need
+        at, other = F.array_position(template, p["word"]) - 1, F.array_position(p["around"], p["word"]) - 1
+        rest = 1 + F.least(n - 1 - at, F.size(p["around"]) - 1 - other)
+        return F.array_contains(prefix, p["word"]) & length & (F.least(at, other) + rest >= need)
+
+    def best(p: Column) -> Column:
+        def blocks(near: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.greatest(F.size(near) - size, F.lit(0)))
+            each = F.transform(starts, lambda s: F.size(F.array_intersect(template, F.slice(near, s + 1, size))))
+            return F.when(F.size(F.array_intersect(template, near)) >= need, F.array_max(each)).otherwise(0)
+
+        return _bound(_around(words, p["i"], size), blocks)
+
+    most = F.array_max(F.transform(F.filter(places, possible), best))
+    return F.when(most >= need, most).otherwise(0)
+
+
+def _phrase_starts(words: Column, places: Column, phrase: list[str], offset: int, label: str) -> Column:
+    """Where the words of a phrase stand in order, found from the word at ``offset`` in it, with its label."""
+    at = F.filter(places, lambda p: (p["word"] == phrase[offset]) & (p["i"] >= offset))
+    same = F.filter(at, lambda p: F.slice(words, p["i"] - offset + 1, len(phrase)) == _strings(phrase))
+    return F.transform(same, lambda p: F.struct((p["i"] - offset).cast("long").alias("start"), F.lit(label).alias("label")))
 
 
 def scan(docs: DataFrame, templates: tuple = TEMPLATES, base: tuple = BASE, containment: float = CONTAINMENT) -> DataFrame:
@@ -91,77 +124,46 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, base: tuple = BASE, cont
 
     ``score`` is 1 with a base phrase, else the best containment of a block that meets a template, else 0.
     """
-    sets = [(list(dict.fromkeys(re.findall(WORD, t))), label, width(len(re.findall(WORD, t)))) for t, label in templates]
-    order = word_order(docs, sorted({w for t, _ in [*templates, *base] for w in re.findall(WORD, t)}))
+    sets = [(re.findall(WORD, t), label) for t, label in templates]
+    phrases = [(p.split(" "), label) for p, label in base]
+    order = word_order(docs, sorted({w for t, _ in [*sets, *phrases] for w in t}))
     place = {w: k for k, w in enumerate(order)}
-    index = []
-    for words, label, size in sets:
-        ranked, need = sorted(words, key=place.get), needed(len(words), containment)
-        index += [(w, " ".join(words), label, i, len(ranked), need, size) for i, w in enumerate(ranked[: len(ranked) - need + 1])]
-    anchors = []
-    for phrase, label in base:
-        words = phrase.split(" ")
-        offset = min(range(len(words)), key=lambda k: (place[words[k]], k))
-        anchors.append((words[offset], phrase, label, offset, len(words)))
-    spark = docs.sparkSession
-    prefixes = F.broadcast(spark.createDataFrame(index, "word string, template string, label string, i int, n int, need int, width int"))
-    phrases = F.broadcast(spark.createDataFrame(anchors, "word string, phrase string, label string, offset int, size int"))
-    rare = sorted({x[0] for x in [*index, *anchors]}, key=place.get)
-
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), whole(F.col("text")).alias("text"))
-    # a word of another case is no prefix word yet, so the texts that can match are looked for in lower case
-    hopeful = rows.withColumn("low", ascii_lower(F.col("text"))).withColumn("words", pieces(F.col("low"), SEPARATORS))
-    hopeful = hopeful.where(F.arrays_overlap("words", _strings(rare)))
-
-    at = hopeful.select(*DOC, "words", F.posexplode("words").alias("pos", "word")).join(phrases, "word")
-    start = F.col("pos") - F.col("offset")
-    same = (start >= 0) & (F.array_join(F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("size")), " ") == F.col("phrase"))
-    none = F.lit(None)
-    places = at.where(same).select(*DOC, "label", start.cast("long").alias("start"), F.lit(1.0).alias("score"))
-
-    blocks = hopeful.select(*DOC, F.explode(F.split("low", "\n")).alias("line"))
-    blocks = blocks.withColumn("line", pieces(F.col("line"), SEPARATORS))
-    signed = blocks.select(*DOC, "line", F.array_intersect(_strings(order), "line").alias("sig")).where(F.size("sig") > 0)
-    tokens = signed.select(*DOC, "line", "sig", F.posexplode("sig").alias("j", "word")).join(prefixes, "word")
-    rest = 1 + F.least(F.col("n") - F.col("i") - 1, F.size("sig") - F.col("j") - 1)
-    possible = tokens.where((F.size("sig") >= F.col("need")) & (rest >= F.col("need") - F.least("i", "j")))
-    template = F.split("template", " ")
-
-    def common(block: Column) -> Column:
-        return F.size(F.array_intersect(template, block))
-
-    def template_words(words: Column, last: Column) -> Column:
-        return F.filter(F.sequence(F.lit(0), last), lambda i: F.array_contains(template, F.get(words, i)))
-
-    whole_line, line_end = common(F.col("sig")), F.size("line") - 1
-    best = _best(F.col("line"), template_words(F.col("line"), line_end), F.col("width"), common)
-    overlap = F.when(whole_line < F.col("need"), 0).when(F.size("line") <= F.col("width"), whole_line).otherwise(best)
-
-    def met_by(rows: DataFrame, words: Column) -> DataFrame:
-        return rows.where(words >= F.col("need")).select(*DOC, "label", none.cast("long").alias("start"), (words / F.col("n")).alias("score"))
-
-    # over all lines: the words around each prefix word, and the blocks of them that begin with a template word before it
-    around = hopeful.where(F.contains("low", F.lit("\n"))).select(*DOC, "words", F.posexplode("words").alias("pos", "word")).join(prefixes, "word")
-    before = F.least(F.col("pos"), F.col("width") - 1)
-    near = around.withColumns({"near": F.slice("words", F.col("pos") - before + 1, before + F.col("width")), "before": before})
-
-    def ordered(block: Column) -> Column:
-        places = F.filter(F.transform(block, lambda w: F.array_position(template, w).cast("int")), lambda v: v > 0)
-        return _in_order(places, F.col("n"))
-
-    chain = _best(F.col("near"), template_words(F.col("near"), F.col("before")), F.col("width"), ordered)
-    chain = F.when(common(F.col("near")) < F.col("need"), 0).otherwise(chain)
-
-    found = places.unionByName(met_by(possible, overlap)).unionByName(met_by(near, chain)).groupBy(*DOC).agg(
-        F.count("start").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
-        F.array_sort(F.collect_set(F.when(F.col("start").isNotNull(), F.col("label")))).alias("base_labels"),
-        F.array_sort(F.collect_set("label")).alias("labels"), F.max("score").alias("score"),
-    )
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    every = rows.select(*DOC, F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
-    joined = every.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-    return joined.select(
-        "doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
-        F.coalesce(F.array_join("base_labels", ","), F.lit("")).alias("base_labels"),
-        F.coalesce(F.array_join("labels", ","), F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
+    kinds = []
+    for found, label in sets:
+        ranked = sorted(set(found), key=place.get)
+        kinds.append((ranked, label, width(len(found)), needed(len(ranked), containment)))
+    anchored = [(p, label, min(range(len(p)), key=lambda k: (place[p[k]], k))) for p, label in phrases]
+    rare = _strings(sorted({w for t, _, _, k in kinds for w in t[: len(t) - k + 1]} | {p[o] for p, _, o in anchored}))
+
+    def judge(words: Column, places: Column) -> Column:
+        starts = [_phrase_starts(words, places, p, o, label) for p, label, o in anchored]
+        met = [F.struct(F.lit(label).alias("label"), (_containment(words, places, t, size, need) / len(t)).alias("score")) for t, label, size, need in kinds]
+        return F.struct(F.concat(*starts).alias("base"), F.filter(F.array(*met), lambda m: m["score"] > 0).alias("met"))
+
+    widest, ordered = max([size for _, _, size, _ in kinds], default=1), _strings(order)
+
+    def cut(words: Column) -> Column:
+        def place_of(i: Column) -> Column:
+            around = F.array_intersect(ordered, _around(words, i, widest))
+            return F.struct(i.alias("i"), F.get(words, i).alias("word"), around.alias("around"))
+
+        at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(rare, F.get(words, i)))
+        found = F.when(F.arrays_overlap(words, rare), _bound(F.transform(at, place_of), lambda places: judge(words, places)))
+        return F.struct(F.size(words).cast("long").alias("n_words"), found.alias("found"))
+
+    words = pieces(ascii_lower(whole(F.col("text"))), NOT_WORD)
+    rows = docs.select("doc_id", _bound(words, cut).alias("r")).select("doc_id", "r.n_words", "r.found.base", "r.found.met")
+    starts = F.transform("base", lambda x: x["start"])
+
+    def names(labels: Column) -> Column:
+        return F.coalesce(F.array_join(F.array_sort(F.array_distinct(labels)), ","), F.lit(""))
+
+    of_base, of_met = (F.transform(c, lambda x: x["label"]) for c in ("base", "met"))
+    none = F.lit(0).cast("long")
+    best = F.coalesce(F.array_max(F.transform("met", lambda x: x["score"])), F.lit(0.0))
+    return rows.select(
+        "doc_id", "n_words", F.coalesce(F.size("base").cast("long"), none).alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        names(of_base).alias("base_labels"), names(F.concat(of_base, of_met)).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(best).alias("score"),
     )

@@ -102,3 +102,15 @@ def places(text: str | None, phrases: tuple) -> tuple[int, int | None, int | Non
         hits += at
         labels |= {label} if at else set()
     return len(hits), min(hits, default=None), max(hits, default=None), ",".join(sorted(labels))
+
+
+def blocks(text: str | None, templates, containment: float) -> tuple[str, float]:
+    """Labels and the best containment of all blocks of twice a template's words, 16 at least."""
+    words, labels, best = low_words(text), set(), 0.0
+    for t, label in templates:
+        want, size = set(t.split()), max(2 * len(t.split()), 16)
+        most = max(len(want & set(words[i : i + size])) for i in range(max(len(words) - size, 0) + 1))
+        if most >= max(1, math.ceil(containment * len(want) - 1e-9)):
+            labels.add(label)
+            best = max(best, most / len(want))
+    return ",".join(sorted(labels)), best
