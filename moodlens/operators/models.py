@@ -1,4 +1,4 @@
-"""Classifiers on review vectors: random forest, one-vs-rest boosting, cross-validation.
+"""Classifiers on review vectors: random forest, softmax boosting, cross-validation.
 
 Input tables carry ``review_id``, an integer ``label`` and ``features`` as array<double>.
 """
@@ -6,22 +6,23 @@ Input tables carry ``review_id``, an integer ``label`` and ``features`` as array
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlens.operators import ensemble, evaluation, smote, splits
+from moodlens.operators.boosting import Boosting, BoostOptions, best_round, fit_boosting
 from moodlens.session import cut_lineage
 
+__all__ = [
+    "Boosting", "BoostOptions", "Ensemble", "Forest", "ForestOptions", "balanced", "best_round", "clip", "cross_validate", "cv_metrics",
+    "fit_boosting", "fit_forest", "importance_table", "optimise_weights", "vectorised", "with_validation",
+]
+
 EPS = 1e-8
 MAX_DEPTH = 30  # deepest tree the library builds; stands for "no limit"
 
@@ -34,24 +35,6 @@ class ForestOptions:
     seed: int = 42
 
 
-@dataclass(frozen=True)
-class BoostOptions:
-    """Rounds, shrinkage and sampling of each one-vs-rest booster. There is no L2 leaf penalty.
-
-    With validation rows a booster keeps the round of the least validation loss that ``patience`` rounds without
-    a gain of more than ``tolerance`` follow.
-    """
-
-    rounds: int = 600
-    step: float = 0.1
-    max_depth: int = 6
-    row_share: float = 0.8
-    feature_share: float = 0.8
-    seed: int = 42
-    tolerance: float = 0.0
-    patience: int = 30
-
-
 def _with_vector(df: DataFrame) -> DataFrame:
     return df.withColumn("_x", array_to_vector("features"))
 
@@ -96,79 +79,6 @@ def fit_forest(train: DataFrame, options: ForestOptions = ForestOptions(), weigh
     return Forest(rf.fit(vectorised(train)))
 
 
-@dataclass
-class Boosting:
-    """One binary booster per class; class probabilities are scaled to sum to one."""
-
-    models: list[GBTClassificationModel] = field(default_factory=list)
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        out = _with_vector(df)
-        for i, m in enumerate(self.models):
-            m.setFeaturesCol("_x").setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_c{i}")
-            out = m.transform(out)
-        each = F.array(*[vector_to_array(f"_p{i}")[1] for i in range(len(self.models))])
-        out = out.withColumn("_each", each)
-        total = F.aggregate("_each", F.lit(0.0), lambda a, v: a + v)
-        out = out.withColumn("probability", F.zip_with("_each", F.array_repeat(total, len(self.models)), lambda v, t: v / t))
-        extra = [f"_{c}{i}" for c in "prc" for i in range(len(self.models))]
-        return evaluation.with_prediction(out.drop("_x", "_each", *extra))
-
-    def importances(self) -> list[float]:
-        per = [m.featureImportances.toArray() for m in self.models]
-        return [float(v) for v in sum(per) / len(per)]
-
-    def save(self, path: str) -> None:
-        for i, m in enumerate(self.models):
-            m.write().overwrite().save(f"{path}/class-{i}")
-
-    @staticmethod
-    def load(path: str, n_classes: int) -> Boosting:
-        return Boosting([GBTClassificationModel.load(f"{path}/class-{i}") for i in range(n_classes)])
-
-
-def fit_boosting(
-    train: DataFrame, n_classes: int, options: BoostOptions = BoostOptions(), weight: str | None = None,
-    validation: str | None = None,
-) -> Boosting:
-    """``validation`` names a boolean column; its rows choose the number of rounds instead of being fitted.
-
-    All rounds are fitted first; a booster whose best round comes earlier is fitted again up to that round, which
-    gives the same trees, as they depend on seed and rows alone.
-    """
-    base = vectorised(train)
-    held = base.filter(F.col(validation)) if validation else None
-    base = base.filter(~F.col(validation)) if validation else base
-    models = []
-    for c in range(n_classes):
-        gbt = GBTClassifier(
-            featuresCol="_x", labelCol="_yc", maxIter=options.rounds, stepSize=options.step, maxDepth=options.max_depth,
-            subsamplingRate=options.row_share, featureSubsetStrategy=str(options.feature_share), seed=options.seed,
-        )
-        if weight:
-            gbt = gbt.setWeightCol(weight)
-        rows = base.withColumn("_yc", (F.col("label") == c).cast("double"))
-        model = gbt.fit(rows)
-        if held is not None:
-            losses = model.evaluateEachIteration(held.withColumn("_yc", (F.col("label") == c).cast("double")))
-            rounds = best_round(losses, options.patience, options.tolerance)
-            if rounds < len(losses):
-                model = gbt.setMaxIter(rounds).fit(rows)
-        models.append(model)
-    return Boosting(models)
-
-
-def best_round(losses: list[float], patience: int, tolerance: float = 0.0) -> int:
-    """The number of rounds to keep: up to the least loss, looking ``patience`` rounds ahead of the best so far."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best] - tolerance:
-            best = k
-        elif k - best >= patience:
-            break
-    return best + 1
-
-
 @dataclass
 class Ensemble:
     forest: Forest

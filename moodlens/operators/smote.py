@@ -1,9 +1,11 @@
-"""Synthetic minority oversampling with exact nearest neighbours.
+"""Synthetic minority oversampling, with neighbours from a projection forest or, on request, exact ones.
 
-Neighbours are found without comparing all pairs. Every class is cut into cells around pivot rows and
+The forest of ``neighbours`` compares each row with a bounded number of others, so its work is linear in the rows.
+
+Exact neighbours are found without comparing all pairs where vectors cluster. Every class is cut into cells around pivot rows and
 large cells into blocks, so no task holds more than a block however uneven the data. A row first looks
 in its own block; the distance found there bounds which other blocks can hold a closer row (triangle
-inequality and bisecting hyperplane), and only those are visited. The answer is exact.
+inequality and bisecting hyperplane), and only those are visited. Where vectors do not cluster, all blocks are.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodlens.operators import ranking
+from moodlens.operators import neighbours, ranking
 from moodlens.session import cut_lineage
 
 BLOCK_ROWS = 2048
@@ -152,16 +154,20 @@ def _unit(seed: int, purpose: str):
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def smote(df: DataFrame, k: int = 5, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def smote(df: DataFrame, k: int = 5, seed: int = 42, block_rows: int = BLOCK_ROWS, exact: bool = False) -> DataFrame:
     """Raise every class to the size of the largest one: ``id, label, features, synthetic``.
 
-    Each synthetic row lies between a random row of the class and one of its k nearest neighbours there.
-    Its ``id`` is null; ``base`` and ``neighbour`` name the two rows it comes from.
+    Each synthetic row lies between a random row of the class and one of its k nearest neighbours there, as found by
+    the projection forest with leaves of ``block_rows`` rows, or exactly with ``exact``. Its ``id`` is null; ``base`` and
+    ``neighbour`` name the two rows it comes from. Ids must be unique; null ids are an error.
     """
     rows = df.select(F.col("id").cast("long").alias("id"), F.col("label").cast("int").alias("label"), "features")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # one row per class
+    found = rows.groupBy("label").agg(F.count("*").alias("n"), F.count("id").alias("named")).collect()  # one row per class
+    counts = {r["label"]: r["n"] for r in found}
     if not counts:
         raise ValueError("no rows to rebalance")
+    if any(r["named"] < r["n"] for r in found):
+        raise ValueError("rows without an id cannot be rebalanced")
     largest = max(counts.values())
     need = {label: largest - n for label, n in counts.items() if n < largest}
     small = [label for label in need if counts[label] <= k]
@@ -173,7 +179,9 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42, block_rows: int = BLOCK_ROW
         return real
     spark = df.sparkSession
     minority = cut_lineage(rows.filter(F.col("label").isin(*need)))
-    near = cut_lineage(nearest_same_class(minority, k, block_rows, seed=seed).select("id", "rank", "neighbour"))
+    search = nearest_same_class(minority, k, block_rows, seed=seed) if exact else neighbours.nearest(minority, k, leaf_rows=block_rows, seed=seed)
+    in_order = F.array_sort(F.collect_list(F.struct("rank", "neighbour")))
+    near = cut_lineage(search.groupBy("id").agg(F.transform(in_order, lambda x: x["neighbour"]).alias("near")))
     ranked = ranking.hash_rank(minority.select("id", "label"), ["label"], "id", seed)
     wanted = None
     for label, n in need.items():  # one entry per class
@@ -182,10 +190,11 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42, block_rows: int = BLOCK_ROW
         wanted = part if wanted is None else wanted.unionByName(part)
     wanted = wanted.select(
         "label", "j", (F.floor(_unit(seed, "base") * F.col("size")) + 1).cast("long").alias("class_rank"),
-        (F.floor(_unit(seed, "neighbour") * k) + 1).cast("int").alias("rank"), _unit(seed, "gap").alias("gap"),
+        _unit(seed, "neighbour").alias("choice"), _unit(seed, "gap").alias("gap"),
     )
     feats = minority.select("id", "features")
-    base = wanted.join(ranked, ["label", "class_rank"]).join(near, ["id", "rank"])
+    chosen = F.get("near", F.floor(F.col("choice") * F.size("near")).cast("int"))
+    base = wanted.join(ranked, ["label", "class_rank"]).join(near, "id").withColumn("neighbour", chosen).drop("near", "choice")
     base = base.join(feats, "id").withColumnRenamed("id", "base").withColumnRenamed("features", "x")
     other = feats.select(F.col("id").alias("neighbour"), F.col("features").alias("y"))
     made = base.join(other, "neighbour").select(

@@ -111,7 +111,7 @@ class Scorer:
                                   tuple(s["stopwords"]) if s["stopwords"] is not None else None)
         return Scorer(
             spark.read.parquet(f"{path}/vectors"), list(s["labels"]), s["dim"], models.Forest.load(f"{path}/forest"),
-            models.Boosting.load(f"{path}/boosting", len(s["labels"])), s["w1"], s["w2"],
+            models.Boosting.load(f"{path}/boosting"), s["w1"], s["w2"],
             spark.read.parquet(f"{path}/weights") if s["weighted"] else None,
             list(s["direction"]) if s["direction"] is not None else None, s["l2"], clean,
         )

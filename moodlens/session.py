@@ -58,6 +58,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more; only paths of :func:`scratch_path` are accepted."""
+    if not path.startswith(shared_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is no scratch path")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local one."""
     shared_dir(df.sparkSession)
