@@ -1,27 +1,38 @@
 """Word and document vectors by negative sampling: skip-gram, CBOW and document context.
 
-MLlib trains skip-gram with hierarchical softmax only. Here documents are hashed into chunks of bounded
-size; in every round each chunk receives the vectors of its own words by a join, updates them in
-NumPy, and the results are averaged per word. No table of all vectors is held by the driver or sent to
-every task. Negative words come from the whole corpus: every word is dealt to chunks at random, in
-proportion to its count to the power 0.75, and a chunk draws its negatives from what it was dealt.
+MLlib trains skip-gram with hierarchical softmax only. Here documents are hashed into large chunks; in every round
+each chunk receives the vectors of its own words by a join, updates them in NumPy, and sends back what changed, which
+is averaged per word. No table of all vectors is held by the driver or sent to every task.
+
+What moves in a round is four half-precision vectors for every distinct word of a chunk, two each way: 8 bytes a
+dimension, 1,600 bytes a word at 200 dimensions. The words of a chunk grow far slower than its tokens, so chunks are
+large: at ``chunk_tokens`` of four million that is some 100 MB for 26 MB of English text, four times the text
+(:func:`round_bytes` states it for a given corpus). The vectors kept between rounds are in single precision, and only
+changes are added to them, so rounding does not pile up.
+
+Negative words come from the whole corpus: every word is dealt to chunks at random, in proportion to its count to
+the power 0.75, and a chunk draws its negatives from what it was dealt. A batch shares its negatives, each weighted
+so that a pair meets ``negative`` of them on average.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.session import cut_lineage
 
 NOISE_BLOCK = 100_000
-PART_CHUNKS = 10_000  # chunks of a word that share one copy of its vectors
+PART_CHUNKS = 1_000  # chunks of a word that share one copy of its vectors
+MERGE_BYTES = 64 << 20  # changes that one task adds up
+STEADY = 8  # pairs of one word in a batch that move it in full; more would overshoot, as they all see the same vectors
+BLOCK_TOKENS = 100_000  # tokens whose contexts are laid out at once
 ARCHITECTURES = ("skipgram", "cbow", "document")
 
 
@@ -35,9 +46,10 @@ class SamplingOptions:
     negative: int = 10
     step: float = 0.025
     seed: int = 42
-    chunk_tokens: int = 50_000
+    chunk_tokens: int = 4_000_000
     batch: int = 256
-    noise_words: int = 2_000  # negatives dealt to a chunk, on average
+    shared: int = 64  # negatives that a batch shares
+    noise_words: int = 20_000  # negatives dealt to a chunk, on average
 
 
 def _start_vector(key: Column, size: int, seed: int) -> Column:
@@ -56,86 +68,190 @@ def _pairs(ids: np.ndarray, doc: np.ndarray, window: int, rng: np.random.Generat
     return ids[at], ok & (doc[at] == doc[:, None])
 
 
-def _update(inp: np.ndarray, out: np.ndarray, rows, mask, target, o: SamplingOptions, step: float, probs, rng) -> None:
-    """One mini-batch: predict ``target`` from the mean of the masked input rows, against noise words."""
-    size = np.maximum(mask.sum(1, keepdims=True), 1)
-    hidden = (inp[rows] * mask[:, :, None]).sum(1) / size
-    noise = rng.choice(len(probs), (len(target), o.negative), p=probs)
-    words = np.concatenate([target[:, None], noise], 1)
-    truth = np.zeros(words.shape)
-    truth[:, 0] = 1.0
-    live = np.ones(words.shape)
-    live[:, 1:] = noise != target[:, None]
-    score = np.einsum("bd,bkd->bk", hidden, out[words])
-    error = (truth - 1.0 / (1.0 + np.exp(-np.clip(score, -30, 30)))) * live * step
-    back = np.einsum("bk,bkd->bd", error, out[words])
-    np.add.at(out, words, error[:, :, None] * hidden[:, None, :])
-    np.add.at(inp, rows, mask[:, :, None] * (back / size)[:, None, :])
-
-
-def _train_chunk(docs: pd.DataFrame, params: pd.DataFrame, o: SamplingOptions, step: float, seed: int):
+def _add(x: np.ndarray, rows: np.ndarray, change: np.ndarray, pairs: np.ndarray) -> None:
+    """``x[rows] += change`` where rows may repeat. A row that stands for more than ``STEADY`` pairs moves as if by so many."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.diff(rows, prepend=-1))
+    damped = np.maximum(np.add.reduceat(pairs[order], first) / STEADY, 1).astype(np.float32)
+    x[rows[first]] += np.add.reduceat(change[order], first) / damped[:, None]
+
+
+def _update(inp: np.ndarray, out: np.ndarray, rows, row_mask, target, target_mask, noise, o: SamplingOptions, step: float) -> None:
+    """One mini-batch: predict the masked targets from the mean of the masked input rows, against shared noise words."""
+    size = np.maximum(row_mask.sum(1, keepdims=True), 1)
+    hidden = (inp[rows] * row_mask[:, :, None]).sum(1) / size
+    known, negative = out[target], out[noise]
+    true = step * target_mask / (1 + np.exp(np.clip(np.einsum("bd,bcd->bc", hidden, known), -30, 30)))
+    weight = target_mask.sum(1, keepdims=True) * np.float32(step * o.negative / len(noise))
+    false = -weight / (1 + np.exp(-np.clip(hidden @ negative.T, -30, 30)))
+    false[(target[:, :, None] == noise).any(1)] = 0
+    back = np.einsum("bc,bcd->bd", true, known) + false @ negative
+    live, used = target_mask > 0, row_mask > 0
+    each = target_mask.sum(1, keepdims=True)
+    change = np.concatenate([(true[:, :, None] * hidden[:, None, :])[live], false.T @ hidden])
+    met = np.concatenate([np.ones(live.sum()), np.full(len(noise), each.sum() * o.negative / len(noise))])
+    _add(out, np.concatenate([target[live], noise]), change, met)
+    _add(inp, rows[used], (row_mask[:, :, None] * (back / size)[:, None, :])[used], (row_mask * (each / size))[used])
+
+
+def _train_chunk(docs: pa.Table, params: pa.Table, dvec: np.ndarray, o: SamplingOptions, step: float, seed: int):
     """Updated ``(word input, word output, document vectors)`` of one chunk."""
-    index = {t: i for i, t in enumerate(params["token"])}
-    inp = np.vstack(params["vin"].to_numpy()).astype("float64")
-    out = np.vstack(params["vout"].to_numpy()).astype("float64")
-    dvec = np.vstack(docs["dvec"].to_numpy()).astype("float64")
-    coded = [[index[t] for t in ts if t in index] for ts in docs["tokens"]]
-    ids = np.array([i for c in coded for i in c], dtype="int64")
-    doc = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
+    inp, out = (_matrix(params[c], np.float16).astype(np.float32) for c in ("vin", "vout"))
+    lists = docs["tokens"].combine_chunks()
+    found = pc.index_in(lists.flatten(), value_set=params["token"].combine_chunks())
+    doc = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    known = pc.is_valid(found).to_numpy(zero_copy_only=False)
+    ids, doc = found.drop_null().to_numpy().astype(np.int64), doc[known]
+    dvec = dvec.copy()
     if len(ids) == 0:
         return inp, out, dvec
     rng = np.random.default_rng(seed)
-    probs = params["noise"].to_numpy(dtype="float64")
+    probs = params["noise"].to_numpy().astype("float64")
     if probs.sum() == 0:  # a chunk that was dealt nothing
-        probs = np.bincount(ids, minlength=len(index)) ** 0.75
-    probs = probs / probs.sum()
-    ctx, ok = _pairs(ids, doc, o.window, rng)
-    if o.architecture == "skipgram":
-        center, pos = np.nonzero(ok)
-        rows, mask, target = ids[center][:, None], np.ones((len(center), 1)), ctx[center, pos]
-    elif o.architecture == "cbow":
-        some = ok.any(1)
-        rows, mask, target = ctx[some], ok[some].astype("float64"), ids[some]
-    else:  # the document's own vector joins the context words
+        probs = np.bincount(ids, minlength=len(inp)) ** 0.75
+    upto = np.cumsum(probs / probs.sum())
+    if o.architecture == "document":  # the document's own vector joins the context words
         inp = np.vstack([inp, dvec])
-        rows = np.concatenate([ctx, (len(index) + doc)[:, None]], 1)
-        mask, target = np.concatenate([ok, np.ones((len(ids), 1))], 1).astype("float64"), ids
-    order = rng.permutation(len(target))
-    for i in range(0, len(order), o.batch):
-        b = order[i:i + o.batch]
-        _update(inp, out, rows[b], mask[b], target[b], o, step, probs, rng)
-    if o.architecture == "document":
-        return inp[: len(index)], out, inp[len(index):]
-    return inp, out, dvec
+    for a in range(0, len(ids), BLOCK_TOKENS):
+        # contexts at the edge of a block reach into its neighbours
+        low, high = max(a - o.window, 0), min(a + BLOCK_TOKENS + o.window, len(ids))
+        ctx, ok = _pairs(ids[low:high], doc[low:high], o.window, rng)
+        mine = np.arange(a, min(a + BLOCK_TOKENS, len(ids)))
+        ctx, ok = ctx[mine - low], ok[mine - low].astype(np.float32)
+        if o.architecture == "document":
+            ctx = np.concatenate([ctx, (len(inp) - len(dvec) + doc[mine])[:, None]], 1)
+            ok = np.concatenate([ok, np.ones((len(mine), 1), np.float32)], 1)
+        some = np.flatnonzero(ok.any(1))
+        own, one = ids[mine][:, None], np.ones((len(mine), 1), np.float32)
+        rows, row_mask, target, target_mask = (own, one, ctx, ok) if o.architecture == "skipgram" else (ctx, ok, own, one)
+        for batch in np.array_split(rng.permutation(some), -(-len(some) // o.batch)) if len(some) else []:
+            noise = np.minimum(np.searchsorted(upto, rng.random(o.shared), side="right"), len(upto) - 1)
+            _update(inp, out, rows[batch], row_mask[batch], target[batch], target_mask[batch], noise, o, step)
+    return inp[: len(params)], out, inp[len(params):] if o.architecture == "document" else dvec
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    """Vectors packed as bytes, one below the other."""
+    values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(values.to_pylist()), kind).reshape(len(values), -1)
+
+
+def _packed(x: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in x], pa.binary())
+
+
+CHANGES = pa.schema([
+    ("kind", pa.string()), ("token", pa.string()), ("part", pa.int32()), ("chunk", pa.int64()), ("review_id", pa.int64()),
+    ("vin", pa.binary()), ("vout", pa.binary()),
+])
 
 
 def _round(docs: DataFrame, needed: DataFrame, params: DataFrame, o: SamplingOptions, number: int) -> DataFrame:
+    """What every chunk changes: rows of kind ``word`` in half precision and, for documents, of kind ``doc``."""
     step = o.step * max(1e-2, 1.0 - number / max(o.rounds, 1))
 
-    def run(d: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        cols = ["kind", "token", "review_id", "vin", "vout"]
-        if d.empty or p.empty:
-            kept = [("doc", None, r, list(v), None) for r, v in zip(d.get("review_id", []), d.get("dvec", []))]
-            return pd.DataFrame(kept, columns=cols)
-        p = p.sort_values("token", ignore_index=True)
-        d = d.sort_values("review_id", ignore_index=True)
-        vin, vout, dvec = _train_chunk(d, p, o, step, o.seed * 1_000_003 + number * 1009 + int(d["chunk"].iloc[0]))
-        words = pd.DataFrame({"kind": "word", "token": p["token"], "review_id": None, "vin": list(vin), "vout": list(vout)})
-        if o.architecture != "document":
-            return words
-        rows = pd.DataFrame({"kind": "doc", "token": None, "review_id": d["review_id"], "vin": list(dvec), "vout": None})
-        return pd.concat([words, rows], ignore_index=True)
+    def run(key: tuple, d: pa.Table, p: pa.Table) -> pa.Table:
+        chunk, out = key[0].as_py(), []
+        if len(d):
+            d, p = d.sort_by("review_id"), p.sort_by("token")
+            before = _matrix(d["dvec"], np.float32)
+            dvec = before
+            if len(p):
+                vin, vout, dvec = _train_chunk(d, p, before, o, step, o.seed * 1_000_003 + number * 1009 + chunk)
+                change = (x - _matrix(p[c], np.float16) for c, x in (("vin", vin), ("vout", vout)))
+                out.append(("word", p["token"], p["part"], [None] * len(p), *(_packed(x.astype(np.float16)) for x in change)))
+            if o.architecture == "document":
+                none = [None] * len(d)
+                out.append(("doc", none, none, d["review_id"], _packed(dvec), none))
+        tables = [
+            pa.Table.from_arrays([pa.array([kind] * len(token)), *(x if isinstance(x, pa.ChunkedArray) else pa.array(x, t) for x, t in zip(
+                (token, part, [chunk] * len(token), ids, vin, vout), CHANGES.types[1:]))], schema=CHANGES)
+            for kind, token, part, ids, vin, vout in out
+        ]
+        return pa.concat_tables(tables) if tables else CHANGES.empty_table()
 
     # a word in very many chunks is split into parts, each with a copy of its vectors
     spread = params.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    sent = needed.join(spread, ["token", "part"]).select("chunk", "token", "noise", "vin", "vout")
+    sent = needed.join(_halved(spread), ["token", "part"]).select("chunk", "token", "part", "noise", "vin", "vout")
     sent = sent.toDF(*sent.columns)
-    return docs.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(
-        run, "kind string, token string, review_id long, vin array<double>, vout array<double>")
+    kinds = "kind string, token string, part int, chunk long, review_id long, vin binary, vout binary"
+    return docs.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInArrow(run, kinds)
+
+
+def _halved(df: DataFrame) -> DataFrame:
+    """The packed vectors in half precision."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            half = {c: _packed(_matrix(part.column(c), np.float32).astype(np.float16)) if len(part) else part.column(c) for c in ("vin", "vout")}
+            yield pa.RecordBatch.from_arrays([half.get(n, c) for n, c in zip(part.schema.names, part.columns)], names=part.schema.names)
+
+    return df.mapInArrow(batches, df.schema)
+
+
+def _merged(changes: DataFrame, keys: list[str], buckets: int, kind: type) -> DataFrame:
+    """The sums of changes and their number for each of ``keys``, added up in buckets of bounded bytes."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(k, "ascending") for k in (*keys, "chunk")])
+        whole = pc.binary_join_element_wise(*(rows[k].cast(pa.string()) for k in keys), "\0") if len(keys) > 1 else rows[keys[0]]
+        at = whole.combine_chunks().dictionary_encode().indices.to_numpy()
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        head = rows.take(pa.array(first))
+        sums = [_packed(np.add.reduceat(_matrix(rows[c], kind).astype(np.float64), first)) for c in ("vin", "vout")]
+        n = np.add.reduceat(rows["n"].to_numpy(), first)
+        return pa.table({"token": head["token"], "part": head["part"], "chunk": head["chunk"], "n": n, "vin": sums[0], "vout": sums[1]})
+
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    return changes.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(add, "token string, part int, chunk long, n long, vin binary, vout binary")
 
 
-def _mean(column: str) -> Column:
-    return vector_to_array(Summarizer.mean(array_to_vector(F.col(column))))
+def _applied(params: DataFrame, sums: DataFrame) -> DataFrame:
+    """``params`` moved by the mean change of each word."""
+    both = params.join(sums.select("token", "n", F.col("vin").alias("din"), F.col("vout").alias("dout")), "token", "left")
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            moved = {}
+            for c, d in (("vin", "din"), ("vout", "dout")):
+                x = _matrix(part.column(c), np.float32).copy() if len(part) else np.zeros((0, 1), np.float32)
+                some = np.flatnonzero(part.column("n").is_valid().to_numpy(zero_copy_only=False))
+                if len(some):
+                    change = _matrix(part.column(d).take(pa.array(some)), np.float64)
+                    x[some] += change / part.column("n").take(pa.array(some)).to_numpy()[:, None]
+                moved[c] = _packed(x)
+            yield pa.RecordBatch.from_arrays([part.column("token"), part.column("parts"), moved["vin"], moved["vout"]], names=["token", "parts", "vin", "vout"])
+
+    return both.mapInArrow(batches, params.schema)
+
+
+def _pack_vectors(df: DataFrame, *columns: str) -> DataFrame:
+    """Arrays of numbers as packed single-precision bytes."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            packed = {c: _packed(np.asarray(part.column(c).flatten(), np.float32).reshape(len(part), -1)) if len(part) else pa.array([], pa.binary()) for c in columns}
+            yield pa.RecordBatch.from_arrays([packed.get(n, c) for n, c in zip(part.schema.names, part.columns)], names=part.schema.names)
+
+    return df.mapInArrow(batches, ", ".join(f"{f.name} {'binary' if f.name in columns else f.dataType.simpleString()}" for f in df.schema.fields))
+
+
+def _unpack_vector(df: DataFrame, column: str, out: str) -> DataFrame:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if len(part):
+                x = _matrix(part.column(column), np.float32).astype(np.float64)
+                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[part.schema.names[0], out])
+
+    key = next(c for c in df.columns if c != column)
+    return df.select(key, column).mapInArrow(batches, f"{key} {df.schema[key].dataType.simpleString()}, {out} array<double>")
+
+
+def round_bytes(needed: DataFrame, size: int) -> int:
+    """Bytes of vectors that a round moves to the chunks and back."""
+    return needed.count() * 8 * size
 
 
 def _dealt(vocab: DataFrame, chunks: int, o: SamplingOptions) -> DataFrame:
@@ -172,26 +288,35 @@ def fit_vectors(df: DataFrame, options: SamplingOptions = SamplingOptions()) ->
         raise ValueError("no tokens to train on")
     chunks = -(-total // o.chunk_tokens)
     docs = rows.withColumn("chunk", F.pmod(F.xxhash64("review_id", F.lit(o.seed)), F.lit(chunks)).cast("long"))
-    docs = cut_lineage(docs.withColumn("dvec", _start_vector(F.col("review_id").cast("string"), o.size, o.seed)))
-    per = docs.select("chunk", F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
-    per = per.groupBy("chunk", "token").agg(F.count("*").alias("n"))
-    vocab = per.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= o.min_count)
-    vocab = cut_lineage(vocab)
-    own = per.select("chunk", "token").join(vocab.select("token"), "token", "left_semi").withColumn("noise", F.lit(0).cast("long"))
-    needed = own.unionByName(_dealt(vocab, chunks, o)).groupBy("chunk", "token").agg(F.sum("noise").alias("noise"))
-    needed = cut_lineage(needed)
+    docs = cut_lineage(_pack_vectors(docs.withColumn("dvec", _start_vector(F.col("review_id").cast("string"), o.size, o.seed)), "dvec"))
+    needed, vocab = words_of_chunks(docs, chunks, o)
     parts = needed.groupBy("token").agg(F.ceil(F.count("*") / PART_CHUNKS).cast("int").alias("parts"))
-    params = cut_lineage(parts.select(
-        "token", "parts", _start_vector(F.col("token"), o.size, o.seed).alias("vin"), F.array_repeat(F.lit(0.0), o.size).alias("vout")))
+    start = parts.select("token", "parts", _start_vector(F.col("token"), o.size, o.seed).alias("vin"), F.array_repeat(F.lit(0.0), o.size).alias("vout"))
+    params = cut_lineage(_pack_vectors(start, "vin", "vout"))
     needed = cut_lineage(needed.join(parts, "token").withColumn("part", F.pmod("chunk", "parts").cast("int")).drop("parts"))
+    moved, most = needed.agg(F.count("*"), F.max("part")).first()
+    buckets = moved * 4 * o.size // MERGE_BYTES + 1
     for number in range(o.rounds):
         result = cut_lineage(_round(docs, needed, params, o, number))
-        words = result.filter(F.col("kind") == "word")
-        params = words.groupBy("token").agg(_mean("vin").alias("vin"), _mean("vout").alias("vout")).join(parts, "token")
+        words = result.filter(F.col("kind") == "word").select("token", "part", "chunk", F.lit(1).cast("long").alias("n"), "vin", "vout")
+        sums = _merged(words, ["token", "part"], buckets, np.float16)
+        if most:  # a word has several parts
+            sums = _merged(sums, ["token"], buckets, np.float64)
+        params = cut_lineage(_applied(params, sums))
         if o.architecture == "document":
-            moved = result.filter(F.col("kind") == "doc").select("review_id", F.col("vin").alias("dvec"))
-            docs = cut_lineage(docs.drop("dvec").join(moved, "review_id"))
-    vectors = cut_lineage(params.select("token", F.col("vin").alias("vector")))
+            changed = result.filter(F.col("kind") == "doc").select("review_id", F.col("vin").alias("dvec"))
+            docs = cut_lineage(docs.drop("dvec").join(changed, "review_id"))
+    vectors = cut_lineage(_unpack_vector(params.select("token", "vin"), "vin", "vector"))
     if o.architecture != "document":
         return vectors, None
-    return vectors, docs.select("review_id", F.col("dvec").alias("vector"))
+    return vectors, _unpack_vector(docs.select("review_id", "dvec"), "dvec", "vector")
+
+
+def words_of_chunks(docs: DataFrame, chunks: int, o: SamplingOptions) -> tuple[DataFrame, DataFrame]:
+    """``(chunk, token, noise)`` of the words that each chunk has or was dealt, and the vocabulary ``(token, n)``."""
+    per = docs.select("chunk", F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
+    per = per.groupBy("chunk", "token").agg(F.count("*").alias("n"))
+    vocab = cut_lineage(per.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= o.min_count))
+    own = per.select("chunk", "token").join(vocab.select("token"), "token", "left_semi").withColumn("noise", F.lit(0).cast("long"))
+    needed = own.unionByName(_dealt(vocab, chunks, o)).groupBy("chunk", "token").agg(F.sum("noise").alias("noise"))
+    return cut_lineage(needed), vocab
