@@ -30,6 +30,16 @@ def _(spark, sf):
         "Summary", F.nullif("Summary", F.lit("<null>")))
 
 
+@query("src1_first_rows_csv", "SELECT review_id, Score, Text FROM reviews ORDER BY review_id LIMIT 250")
+def _(spark, sf):
+    # files in the order of the ids, with cells over lines; the first rows span several of them
+    path = scratch_path(spark, "parts") + ".csv"
+    rows_ = base.reviews(spark, sf).select("review_id", "Score", "Text").repartitionByRange(16, "review_id").sortWithinPartitions("review_id")
+    sinks.write_csv(rows_, path)
+    back = src.read_reviews(spark, path, ["review_id", "Score", "Text"], n_rows=250)
+    return back.withColumn("review_id", F.col("review_id").cast("long"))
+
+
 @query("src2_read_parquet_subset", "SELECT doc_id, lang, n_chars FROM documents")
 def _(spark, sf):
     return src.read_reviews(spark, f"{sf}/documents.parquet", ["doc_id", "lang", "n_chars"])
@@ -118,6 +128,12 @@ def _(spark, sf):
     return docs.join(kept, "doc_id").select("doc_id", "lang", "n_chars")
 
 
+@query("row2_drop_duplicate_documents", """SELECT doc_id, lang, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY text, lang, source, n_chars ORDER BY doc_id) AS k
+ FROM documents) WHERE k = 1""")
+def _(spark, sf):
+    return rows.drop_exact_duplicates(derived.table(spark, sf, "documents"), "doc_id").select("doc_id", "lang", "source", "n_chars")
+
+
 @query("row3_choose_source_text", f"""SELECT review_id, md5(coalesce(Summary, '')) AS summary_only,
  md5(CASE WHEN {twin.blank('Summary')} THEN Text ELSE Summary END) AS with_fallback,
  md5(CASE WHEN {twin.blank("coalesce(Summary, 'nan')")} THEN Text ELSE coalesce(Summary, 'nan') END) AS with_nan,
@@ -188,6 +204,12 @@ def _(spark, sf):
     return rows.preview_rows(base.cleaned(spark, sf).filter(F.col("Summary").isNotNull()), 12)
 
 
+@query("row11_preview_with_nulls", """SELECT review_id, Score, Emotion, substr(Summary, 1, 60) || '...' AS Summary,
+ concat(substr(clean_text, 1, 80), '...') AS clean_text_preview FROM (SELECT * FROM cleaned ORDER BY review_id LIMIT 60)""")
+def _(spark, sf):
+    return rows.preview_rows(base.cleaned(spark, sf), 60)
+
+
 @query("row12_sample_per_emotion", """SELECT Emotion, concat(substr(arg_min(clean_text, review_id), 1, 60), '...') AS sample
  FROM cleaned GROUP BY Emotion""")
 def _(spark, sf):
