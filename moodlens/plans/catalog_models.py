@@ -29,6 +29,16 @@ def _(spark, sf):
     return embeddings.subsample_frequent(toks, 1e-3, 42).groupBy("token").agg(F.count("*").alias("n"))
 
 
+@query("emb3_subsampled_reviews", """WITH f AS (SELECT token, sqrt(0.001::DOUBLE / (n / (SELECT sum(n) FROM token_freq))) + 0.001::DOUBLE / (n / (SELECT sum(n) FROM token_freq)) AS keep FROM token_freq),
+ p AS (SELECT review_id, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM cleaned),
+ k AS (SELECT p.review_id, p.token, p.pos FROM p JOIN f ON p.token = f.token
+ WHERE f.keep >= 1 OR CAST('0x' || substr(md5(concat(p.review_id, ':', p.pos, ':42')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE < f.keep)
+ SELECT c.review_id, count(k.token) AS n_left, md5(coalesce(string_agg(k.token, ' ' ORDER BY k.pos), '')) AS tokens_md5 FROM cleaned c LEFT JOIN k ON c.review_id = k.review_id GROUP BY c.review_id""")
+def _(spark, sf):
+    left = embeddings.subsample_rows(base.staged(spark, sf, "review_id", "tokens"), 1e-3, 42)
+    return left.select("review_id", F.size("tokens").cast("long").alias("n_left"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+
+
 @query("emb5_sif_weights", f"WITH {_SIF} SELECT token, n, {r('w')} AS weight FROM sif")
 def _(spark, sf):
     train = base.split(base.staged(spark, sf)).filter(F.col("split") == "train")

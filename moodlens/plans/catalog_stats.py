@@ -33,6 +33,11 @@ def _(spark, sf):
     return profile.column_profile(derived.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag"))
 
 
+@query("agg2_duplicate_documents", """SELECT (SELECT count(*) FROM documents) - count(*) AS duplicate_rows FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)""")
+def _(spark, sf):
+    return profile.duplicate_row_count(derived.table(spark, sf, "documents").drop("doc_id"))
+
+
 @query("agg2_duplicate_rows", """SELECT (SELECT count(*) FROM documents) - count(*) AS duplicate_rows FROM (SELECT DISTINCT text, lang FROM documents)""")
 def _(spark, sf):
     return profile.duplicate_row_count(derived.table(spark, sf, "documents").select("text", "lang"))
@@ -223,9 +228,10 @@ def _(spark, sf):
 _POL = "SELECT token, CAST(CAST('0x' || substr(md5(token || ':valence'), 1, 4) AS BIGINT) % 81 AS DOUBLE) / 10 - 4 AS valence FROM token_freq"
 
 
-@query("jn4_polarity_lookup", f"SELECT f.token, f.n, {r('p.valence')} AS valence FROM token_freq f JOIN ({_POL}) p ON f.token = p.token WHERE p.valence >= 0.5")
+@query("jn4_polarity_lookup", f"""SELECT token, n, {r('valence')} AS valence FROM (
+ SELECT token, n, CAST(CAST('0x' || substr(md5(token || ':valence'), 1, 4) AS BIGINT) % 81 AS DOUBLE) / 10 - 4 AS valence FROM token_freq) WHERE valence >= 0.5""")
 def _(spark, sf):
-    freq = base.freq(base.staged(spark, sf))
+    freq = base.kept(base.freq(base.cleaned(spark, sf)))  # both sides of the lookup
     return freq.join(derived.fixture_polarity(freq).filter(F.col("valence") >= 0.5), "token")
 
 

@@ -173,8 +173,7 @@ def featurise_corpus(cleaned: DataFrame, o: TrainOptions) -> tuple[DataFrame, di
     train = df.filter(F.col("split") == "train")
     corpus = train.select("review_id", "tokens")
     if o.sample > 0:
-        long = embeddings.tokens_long(corpus, "review_id")
-        corpus = embeddings.regroup_tokens(embeddings.subsample_frequent(long, o.sample, o.seed))
+        corpus = embeddings.subsample_rows(corpus, o.sample, o.seed)
     vectors = fit_word_vectors(cut_lineage(corpus), o)
     weights = None
     if o.use_sif:
