@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from moodlens import lexicons
+from moodlens.functions.stemming import stem_words
 
 SPACE = r"[\s\x1c-\x1f]"
 NOT_WORD_SPACE_APOS = r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f']"
@@ -22,7 +23,11 @@ TAG = r"<[^\n]*?>"
 
 @dataclass(frozen=True)
 class CleanOptions:
-    """Toggles of :func:`clean_tokens`; defaults are the standard preprocessing."""
+    """Toggles of :func:`clean_tokens`; defaults are the standard preprocessing.
+
+    ``stem`` adds the only step that runs in Python. Lemmas come from a user's table and are a step on rows
+    (``vocabulary.reduce_words``), which stems after them.
+    """
 
     lower: bool = True
     strip_tags: bool = True
@@ -30,6 +35,7 @@ class CleanOptions:
     strip_digits: bool = True
     collapse_space: bool = True
     stopwords: tuple[str, ...] | None = None
+    stem: bool = False
 
 
 def is_blank(c: Column) -> Column:
@@ -127,7 +133,8 @@ def clean_tokens(c: Column, options: CleanOptions = CleanOptions()) -> Column:
     out = normalise(c, options)
     collapsed = options.strip_punctuation and options.strip_digits and options.collapse_space
     # after collapsing, only single spaces are left, and the length test drops empty tokens
-    return filter_tokens(F.split(out, " ") if collapsed else tokenise(out), options.stopwords)
+    kept = filter_tokens(F.split(out, " ") if collapsed else tokenise(out), options.stopwords)
+    return stem_words(kept) if options.stem else kept
 
 
 def clean_text(c: Column, options: CleanOptions = CleanOptions()) -> Column:

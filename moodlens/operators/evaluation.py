@@ -107,11 +107,17 @@ def macro_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return auc_per_class(df, by).groupBy(*by).agg(F.when(absent, F.lit(float("nan"))).otherwise(F.avg("auc")).alias("auc"))
 
 
-def roc_micro(df: DataFrame) -> DataFrame:
-    """ROC points over all (row, class) pairs taken together, from the highest score down."""
+def roc_micro(df: DataFrame, corners: bool = False) -> DataFrame:
+    """ROC points over all (row, class) pairs taken together, from the highest score down.
+
+    ``corners`` leaves out points on a straight line between their neighbours: the curve and its area stay the same.
+    """
     g = _one_vs_rest(df, ()).groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     g = g.withColumn("_all", F.lit(0)).withColumn("_order", -F.col("score"))
-    ranked = ranking.running_totals(g, ["_all"], "_order", ["pos", "neg"])
+    ranked = ranking.running_totals(g, ["_all"], "_order", ["pos", "neg"], corners)
+    if corners:
+        straight = F.col("pos") * F.col("next_neg") == F.col("neg") * F.col("next_pos")
+        ranked = ranked.filter(F.col("next_pos").isNull() | ~straight)
     totals = g.groupBy("_all").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     # one row of totals
     points = ranked.join(F.broadcast(totals), "_all").select(

@@ -12,8 +12,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodlens.session import cut_lineage
+
 HASH_DIGITS = 4  # hex digits per bucket: at most 65,536 buckets per class
-MAX_EDGES = 256
 
 
 def hash_key(row_id: str | Column, seed: int) -> Column:
@@ -83,24 +84,27 @@ def hash_rank(df: DataFrame, by: Sequence[str], row_id: str = "review_id", seed:
     )
 
 
-def running_totals(g: DataFrame, part: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+def running_totals(g: DataFrame, part: Sequence[str], order: str, sums: Sequence[str], following: bool = False) -> DataFrame:
     """Adds ``cum_<s>`` for each summed column: running total within ``part`` by ``order``.
 
-    ``g`` holds one row per ``(part, order)``. Bucket edges are quantiles of ``order``, so buckets
-    are even however the values cluster; edges and bucket totals have at most 257 rows per part.
+    ``g`` holds one row per ``(part, order)``. It is dealt out by ranges, as many as the session has shuffle partitions,
+    and only inside a range are rows sorted; totals of the ranges before are a small table. ``following`` adds
+    ``next_<s>``, the column of the next row, null at the end of a part.
     """
-    points = F.array(*[F.lit(i / MAX_EDGES) for i in range(1, MAX_EDGES)])
-    edges = g.groupBy(*part).agg(F.percentile_approx(order, points, 10_000).alias("_edges"))
-    b = (
-        g.join(F.broadcast(edges), list(part))
-        .withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col(order))))
-        .drop("_edges")
+    ranged = g.repartitionByRange(*part, order).withColumn("_b", F.spark_partition_id())
+    b = cut_lineage(ranged)  # written: the numbers of the ranges must not change between the passes
+    # one row for each part and range
+    places = Window.partitionBy(*part).orderBy("_b")
+    first = [F.min_by(s, order).alias(f"_f_{s}") for s in sums]
+    before = b.groupBy(*part, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums], *first).select(
+        *part, "_b",
+        *[F.coalesce(F.sum(f"_t_{s}").over(places.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_p_{s}") for s in sums],
+        *[F.lead(f"_f_{s}").over(places).alias(f"_n_{s}") for s in sums],
     )
-    earlier = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = b.groupBy(*part, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    before = before.select(*part, "_b", *[F.coalesce(F.sum(f"_t_{s}").over(earlier), F.lit(0)).alias(f"_p_{s}") for s in sums])
-    inner = Window.partitionBy(*part, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*part, "_b").orderBy(order)
     out = b.join(F.broadcast(before), [*part, "_b"])
     for s in sums:
-        out = out.withColumn(f"cum_{s}", F.col(f"_p_{s}") + F.sum(s).over(inner))
-    return out.drop("_b", *[f"_p_{s}" for s in sums])
+        out = out.withColumn(f"cum_{s}", F.col(f"_p_{s}") + F.sum(s).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        if following:
+            out = out.withColumn(f"next_{s}", F.coalesce(F.lead(s).over(inside), F.col(f"_n_{s}")))
+    return out.drop("_b", *[f"_{k}_{s}" for k in "pn" for s in sums])

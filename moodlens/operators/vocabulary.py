@@ -51,6 +51,23 @@ def stem_tokens(df: DataFrame) -> DataFrame:
     return df.withColumn("tokens", stem_words("tokens"))
 
 
+def reduce_words(df: DataFrame, lemmas: DataFrame | None = None, stem: bool = False) -> DataFrame:
+    """``df`` with its ``tokens`` lemmatised, then stemmed, as asked for; ``n_tokens`` and ``clean_text`` follow where present.
+
+    Lemmas need a unique ``review_id``; a table without one of them is left as it is by ``stem`` alone.
+    """
+    out = df
+    if lemmas is not None:
+        out = out.drop("tokens").join(lemmatise(df.select("review_id", "tokens"), lemmas), "review_id")
+    if stem:
+        out = stem_tokens(out)
+    if "n_tokens" in df.columns:
+        out = out.withColumn("n_tokens", F.size("tokens"))
+    if "clean_text" in df.columns:
+        out = out.withColumn("clean_text", F.array_join("tokens", " "))
+    return out
+
+
 def stem_vocabulary(freq: DataFrame) -> DataFrame:
     """Each distinct token with its stem and count."""
     return freq.withColumn("stem", F.element_at(stem_words(F.array("token")), 1))

@@ -241,6 +241,15 @@ def _(spark, sf):
     return evaluation.roc_micro(_probs(spark, sf))
 
 
+@query("evl6_roc_corners", f"""WITH e AS ({' UNION ALL '.join(f'SELECT CASE WHEN label = {c} THEN 1 ELSE 0 END AS y, p{c} AS s FROM probs' for c in range(3))}),
+ g AS (SELECT s, sum(y) AS pos, sum(1 - y) AS neg FROM e GROUP BY s),
+ n AS (SELECT *, lead(pos) OVER (ORDER BY s DESC) AS np, lead(neg) OVER (ORDER BY s DESC) AS nn, sum(neg) OVER (ORDER BY s DESC) AS cn, sum(pos) OVER (ORDER BY s DESC) AS cp FROM g)
+ SELECT {r('s')} AS threshold, {r('cn / (SELECT sum(neg) FROM g)')} AS fpr, {r('cp / (SELECT sum(pos) FROM g)')} AS tpr FROM n WHERE np IS NULL OR pos * nn <> neg * np
+ UNION ALL SELECT CAST('inf' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")
+def _(spark, sf):
+    return evaluation.roc_micro(_probs(spark, sf), corners=True)
+
+
 @query("evl7_confidence_stats", f"SELECT {r('avg(conf)')} AS mean, {r('stddev_pop(conf)')} AS std, {r('min(conf)')} AS min, {r('max(conf)')} AS max FROM scored")
 def _(spark, sf):
     return evaluation.confidence_stats(_probs(spark, sf))

@@ -293,6 +293,17 @@ def _(spark, sf):
     return base.cleaned_all(spark, sf).select("review_id", "n_tokens", "clean_text")
 
 
+@query("txt12_clean_text_stem", "SELECT review_id, n_tokens, 0::BIGINT AS n_longer, TRUE AS as_after_cleaning FROM cleaned")
+def _(spark, sf):
+    # the toggle of the cleaner against stemming the cleaned tokens word by word
+    one = cleaning.clean_reviews(base.reviews(spark, sf), text.CleanOptions(stem=True)).select("review_id", "n_tokens", "clean_text", F.col("tokens").alias("stems"))
+    plain = base.cleaned(spark, sf)
+    two = vocabulary.reduce_words(plain.select("review_id", "tokens", "n_tokens", "clean_text"), None, True)
+    both = one.join(plain.select("review_id", "tokens"), "review_id").join(two.select("review_id", F.col("clean_text").alias("after")), "review_id")
+    longer = F.size(F.filter(F.zip_with("stems", "tokens", lambda a, b: F.length(a) > F.length(b)), lambda x: x))
+    return both.select("review_id", "n_tokens", longer.cast("long").alias("n_longer"), (F.col("clean_text") == F.col("after")).alias("as_after_cleaning"))
+
+
 @query("txt15_keyword_predicate", f"SELECT token, n, {twin.token_ok('token')} AS ok, regexp_full_match(token, '[a-z]{{3,15}}') AS ok_any_domain FROM token_freq")
 def _(spark, sf):
     return base.freq(base.cleaned(spark, sf)).select(

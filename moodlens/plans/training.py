@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +56,17 @@ class Scorer:
     direction: list[float] | None = None
     l2: bool = True
     clean: text.CleanOptions = field(default_factory=text.CleanOptions)
+    lemmas: DataFrame | None = None
 
     def featurise(self, df: DataFrame, text_col: str, serve_plain_mean: bool = False) -> DataFrame:
-        """``serve_plain_mean`` leaves out weighting, component removal and scaling."""
-        rows = df.withColumn("tokens", text.clean_tokens(F.coalesce(F.col(text_col), F.lit("")), self.clean))
+        """``serve_plain_mean`` leaves out weighting, component removal and scaling.
+
+        With lemmas the tokens of a review are put together again after the lookup, which streams cannot do.
+        """
+        cleaner = self.clean if self.lemmas is None else replace(self.clean, stem=False)
+        rows = df.withColumn("tokens", text.clean_tokens(F.coalesce(F.col(text_col), F.lit("")), cleaner))
+        if self.lemmas is not None:
+            rows = vocabulary.reduce_words(rows, self.lemmas, self.clean.stem)
         plain = serve_plain_mean
         vecs = embeddings.document_vectors(rows, self.vectors, self.dim, None if plain else self.weights)
         if self.direction is not None and not plain:
@@ -94,13 +101,16 @@ class Scorer:
         sinks.write_table(self.vectors, f"{path}/vectors")
         if self.weights is not None:
             sinks.write_table(self.weights, f"{path}/weights")
+        if self.lemmas is not None:
+            sinks.write_table(self.lemmas.select("token", "lemma"), f"{path}/lemmas")
         self.forest.save(f"{path}/forest")
         self.boosting.save(f"{path}/boosting")
         row = (self.labels, self.dim, self.w1, self.w2, self.direction, self.l2, self.weights is not None,
                self.clean.lower, self.clean.strip_tags, self.clean.strip_punctuation, self.clean.strip_digits,
-               self.clean.collapse_space, list(self.clean.stopwords) if self.clean.stopwords is not None else None)
+               self.clean.collapse_space, list(self.clean.stopwords) if self.clean.stopwords is not None else None,
+               self.clean.stem, self.lemmas is not None)
         schema = ("labels array<string>, dim int, w1 double, w2 double, direction array<double>, l2 boolean, weighted boolean, "
-                  "lower boolean, tags boolean, punctuation boolean, digits boolean, space boolean, stopwords array<string>")
+                  "lower boolean, tags boolean, punctuation boolean, digits boolean, space boolean, stopwords array<string>, stem boolean, lemmatised boolean")
         sinks.write_table(spark.createDataFrame([row], schema).coalesce(1), f"{path}/settings")
         return path
 
@@ -108,12 +118,13 @@ class Scorer:
     def load(spark: SparkSession, path: str) -> Scorer:
         s = spark.read.parquet(f"{path}/settings").first()
         clean = text.CleanOptions(s["lower"], s["tags"], s["punctuation"], s["digits"], s["space"],
-                                  tuple(s["stopwords"]) if s["stopwords"] is not None else None)
+                                  tuple(s["stopwords"]) if s["stopwords"] is not None else None, s["stem"])
         return Scorer(
             spark.read.parquet(f"{path}/vectors"), list(s["labels"]), s["dim"], models.Forest.load(f"{path}/forest"),
             models.Boosting.load(f"{path}/boosting"), s["w1"], s["w2"],
             spark.read.parquet(f"{path}/weights") if s["weighted"] else None,
             list(s["direction"]) if s["direction"] is not None else None, s["l2"], clean,
+            spark.read.parquet(f"{path}/lemmas") if s["lemmatised"] else None,
         )
 
 
@@ -193,8 +204,13 @@ def featurise_corpus(cleaned: DataFrame, o: TrainOptions) -> tuple[DataFrame, di
     return cut_lineage(dv), {"names": names, "vectors": vectors, "weights": weights, "direction": direction}
 
 
-def train_and_evaluate(cleaned: DataFrame, o: TrainOptions = TrainOptions()) -> Results:
-    """Cross-validate and fit forest and boosting, tune the ensemble, evaluate all on the held-out part."""
+def train_and_evaluate(
+    cleaned: DataFrame, o: TrainOptions = TrainOptions(), clean: text.CleanOptions = text.CleanOptions(), lemmas: DataFrame | None = None,
+) -> Results:
+    """Cross-validate and fit forest and boosting, tune the ensemble, evaluate all on the held-out part.
+
+    ``clean`` and ``lemmas`` say how the tokens of ``cleaned`` were made; the scorer repeats it.
+    """
     dv, fitted = featurise_corpus(cleaned, o)
     names, k = fitted["names"], len(fitted["names"])
     cols = ["review_id", "label", "features"]
@@ -220,7 +236,7 @@ def train_and_evaluate(cleaned: DataFrame, o: TrainOptions = TrainOptions()) ->
     else:
         boosting = models.fit_boosting(rows, k, o.boost, weight)
     w1, w2 = models.optimise_weights(train, k, o.forest, o.boost, o.seed, method) if o.optimise_weights else (0.5, 0.5)
-    scorer = Scorer(fitted["vectors"], names, o.vector_size, forest, boosting, w1, w2, fitted["weights"], fitted["direction"], o.l2)
+    scorer = Scorer(fitted["vectors"], names, o.vector_size, forest, boosting, w1, w2, fitted["weights"], fitted["direction"], o.l2, clean, lemmas)
     keep = ["review_id", "label", "probability", "prediction"]
     tested = [
         models.clip(m.predict(test)).select(*keep, F.lit(name).alias("model"))

@@ -266,3 +266,29 @@ def test_boosting_stops_early(spark):
     full = models.BoostOptions(rounds=12, max_depth=4, step=0.5, patience=2)
     fitted = models.fit_boosting(df, 2, full, None, "held")
     assert fitted.rounds < 12 and len(fitted.losses) == min(fitted.rounds + 2, 12)
+
+
+def test_scorer_with_lemmas_and_stems(spark, tmp_path):
+    """Train on reduced words; the saved scorer reduces new texts in the same way."""
+    from moodlens.functions.text import CleanOptions
+    from moodlens.operators import cleaning, vocabulary
+
+    words = {1: ["awful hating", "stale boxes"], 3: ["plain box", "sized labels"], 5: ["loving teas", "great treats"]}
+    rows = [(i, s, " ".join(words[s])) for i in range(90) for s in [(1, 3, 5)[i % 3]]]
+    raw = spark.createDataFrame(rows, "review_id long, Score long, Summary string").withColumn("Text", F.col("Summary"))
+    lemmas = spark.createDataFrame([("teas", "tea"), ("hating", "hate"), ("great", "never used")], "token string, lemma string")
+    options = CleanOptions(stem=True)
+    plain = cleaning.clean_reviews(raw)
+    reduced = vocabulary.reduce_words(plain, lemmas, True).cache()
+    got = {r["review_id"]: r for r in reduced.collect()}
+    assert got[2]["tokens"] == ["love", "tea", "great", "treat"] and got[2]["clean_text"] == "love tea great treat" and got[2]["n_tokens"] == 4
+    stemmed = {r["review_id"]: r["tokens"] for r in cleaning.clean_reviews(raw, options).collect()}
+    assert stemmed[0] == ["aw", "hate", "stale", "box"] or stemmed[0] == ["awful", "hate", "stale", "box"]
+    o = training.TrainOptions(vector_size=8, window=2, min_count=1, epochs=2, sample=0.0, folds=0, early_stop=False, optimise_weights=False,
+                              balancing="None", forest=models.ForestOptions(10, 4), boost=models.BoostOptions(3, max_depth=2))
+    run = training.train_and_evaluate(reduced, o, options, lemmas)
+    scorer = training.Scorer.load(spark, run.scorer.save(str(tmp_path / "scorer")))
+    new = spark.createDataFrame([(1, "loved the tea"), (2, "hate, stale box")], "review_id long, Text string")
+    scored = {r["review_id"]: r for r in scorer.score(new).collect()}
+    assert scored[1]["n_in_vocab"] == 2 and scored[2]["n_in_vocab"] == 3
+    assert scorer.clean.stem and scorer.lemmas.count() == 3

@@ -3,10 +3,11 @@ from __future__ import annotations
 import hashlib
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from moodlens.operators import joins, ranking, rows, splits
+from moodlens.operators import evaluation, joins, ranking, rows, splits
 
 
 def order(ids, seed):
@@ -90,3 +91,16 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(i, "a" if i < 6 else "b") for i in range(8)], "review_id long, Emotion string")
     got = {r["Emotion"]: r["weight"] for r in splits.class_weights(df).collect()}
     assert math.isclose(got["a"], 8 / (2 * 6)) and math.isclose(got["b"], 8 / (2 * 2))
+
+
+def test_corners_keep_the_area(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(y), [1 - float(s), float(s)]) for y, s in zip(rng.integers(0, 2, 900), np.round(rng.random(900), 3))]
+    df = spark.createDataFrame(rows, "label int, probability array<double>")
+    area = {}
+    for corners in (False, True):
+        points = sorted(((r["fpr"], r["tpr"]) for r in evaluation.roc_micro(df, corners).collect()))
+        area[corners] = (sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:])), len(points))
+    assert abs(area[True][0] - area[False][0]) < 1e-12 and area[True][1] < area[False][1]
+    two = spark.createDataFrame([(1, [0.1, 0.9]), (1, [0.2, 0.8]), (0, [0.7, 0.3]), (0, [0.6, 0.4])], "label int, probability array<double>")
+    assert sorted((r["fpr"], r["tpr"]) for r in evaluation.roc_micro(two, True).collect()) == [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)]
