@@ -241,7 +241,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", dec
         bpe = load(path)
         for whole in parts:
             for part in slices(whole, text):
-                offsets, ids = bpe.memory.encode([t or "" for t in part.column(text).to_pylist()])
+                offsets, ids = bpe.memory.encode(part.column(text))
                 columns = {n: c for n, c in zip(part.schema.names, part.columns) if keep_text or n != text}
                 columns[out] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
                 if decoded:

@@ -14,53 +14,70 @@ CACHE = 400_000
 SLICE_BYTES = 4 << 20
 
 
-class CutMemory:
-    """Cuts texts at spaces and line feeds and encodes every distinct new cut once, with ``learn``.
+class IdMemory:
+    """Remembers the ids of texts. ``learn`` takes new texts and gives the number of ids of each, and the ids of all."""
 
-    ``learn`` takes cuts and gives the number of ids of each, and the ids of all. When ``limit`` cuts are known, it forgets all and starts anew.
-    """
-
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int | None = None) -> None:
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
         self.learn = learn
-        self.limit = limit or CACHE
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
-        self.start = np.zeros(self.limit, np.int64)
-        self.length = np.zeros(self.limit, np.int64)
+        self.start = np.zeros(1 << 12, np.int64)
+        self.length = np.zeros(1 << 12, np.int64)
 
-    def _add(self, cuts: list[str]) -> None:
-        sizes, flat = self.learn(cuts)
-        first, total = len(self.slots), len(self.slots) + len(cuts)
+    def _add(self, texts: list[str]) -> None:
+        sizes, flat = self.learn(texts)
+        first, total = len(self.slots), len(self.slots) + len(texts)
         while total > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.int32)])
-        self.slots.update(zip(cuts, range(first, total), strict=True))
+        self.slots.update(zip(texts, range(first, total), strict=True))
         self.start[first:total] = self.used + np.cumsum(sizes) - sizes
         self.length[first:total] = sizes
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets of the texts, one more than there are texts, and the ids of all."""
-        cuts = [t.replace("\n", " ").split(" ") for t in texts]
-        flat = [c for cut in cuts for c in cut]
-        new = list(dict.fromkeys(c for c in flat if c not in self.slots))
-        if len(self.slots) + len(new) > self.limit and self.slots:
-            self._forget()
-            new = list(dict.fromkeys(flat))
+    def slots_of(self, texts: list[str], limit: int) -> np.ndarray:
+        """The slots of texts. Where more than ``limit`` would be known, all others are forgotten."""
+        new = list({t: None for t in texts if t not in self.slots})
+        if len(self.slots) + len(new) > limit and self.slots:
+            self.forget()
+            new = list(dict.fromkeys(texts))
         if new:
             self._add(new)
-        slot = np.fromiter(map(self.slots.__getitem__, flat), np.int64, len(flat))
+        return np.fromiter(map(self.slots.__getitem__, texts), np.int64, len(texts))
+
+    def gather(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each slot, and the ids of all."""
         length = self.length[slot]
-        ends = np.cumsum(length)
-        at = np.repeat(self.start[slot] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        bounds = np.cumsum([0, *map(len, cuts)])
-        return np.concatenate([[0], ends])[bounds].astype(np.int64), self.ids[at]
+        at = np.repeat(self.start[slot] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+        return length, self.ids[at]
+
+
+class CutMemory:
+    """Cuts texts at spaces and line feeds and encodes every distinct new cut once, with ``learn``.
+
+    When ``limit`` cuts are known, it forgets all and starts anew.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int | None = None) -> None:
+        self.limit = limit or CACHE
+        self.known = IdMemory(learn)
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the texts, one more than there are texts, and the ids of all. Nulls count as empty."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        # only distinct cuts become Python strings
+        coded = lists.flatten().dictionary_encode()
+        slot = self.known.slots_of(coded.dictionary.to_pylist(), self.limit)
+        length, ids = self.known.gather(slot[coded.indices.to_numpy()])
+        return np.concatenate([[0], np.cumsum(length)])[bounds].astype(np.int64), ids
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from moodlens.llm import files
-from moodlens.llm.cuts import CACHE, CutMemory, slices
+from moodlens.llm.cuts import CACHE, CutMemory, IdMemory, slices
 
 MAGIC = b"TOKIDS01"
 #: Compressed bytes after which a file is closed.
@@ -74,40 +74,58 @@ def memory(path: str) -> CutMemory:
         raise ValueError("the tokenizer must have a special token, to stand between cuts")
     mark, number = min(special.items())
 
-    known: dict[str, list[int]] = {}
-
-    def encode_new(parts: list[str]) -> None:
-        """Many parts in one call, with a special token between them; parts that hold one themselves go alone."""
+    widths = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None) or ""
+    for token, i in tokenizer.get_vocab().items():
+        widths[i] = len(token.removesuffix(suffix))
+
+    def encode(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def between_spaces(parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Parts in one text; the bytes of tokens and parts tell where each ends. None where they do not agree."""
+        ids = encode(" ".join(parts))
+        sizes = [len(p) if p.isascii() else len(unicodedata.normalize("NFC", p).lower().encode()) for p in parts]
+        last, have = np.cumsum(sizes), np.concatenate([[0], np.cumsum(widths[ids])])
+        ends = np.searchsorted(have, last)
+        if have[-1] != last[-1] or (have[ends] != last).any():
+            return None
+        return np.diff(ends, prepend=0), ids
+
+    def between_marks(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = encode(mark.join(parts))
+        ends = np.flatnonzero(ids == number) if len(parts) > 1 else np.zeros(0, np.int64)
+        if len(ends) != len(parts) - 1:
+            raise ValueError("the tokenizer does not keep its special token")
+        return np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1, np.delete(ids, ends)
+
+    def library(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Many parts in one call, between spaces or else between special tokens; parts that hold one of these go alone."""
+        found = []
         for k in range(0, len(parts), JOINED):
             some = parts[k : k + JOINED]
             joined = " ".join(some)
-            for group in [[p] for p in some] if any(t in joined for t in special) else [some]:
-                ids = tokenizer.encode_batch_fast([mark.join(group)], add_special_tokens=False)[0].ids
-                if len(group) == 1:
-                    known[group[0]] = ids
-                    continue
-                ends = [i for i, x in enumerate(ids) if x == number]
-                for part, first, last in zip(group, [-1, *ends], [*ends, len(ids)], strict=True):
-                    known[part] = ids[first + 1 : last]
+            if any(t in joined for t in special):
+                found += [between_marks([p]) for p in some]
+            else:
+                found.append(between_spaces(some) or between_marks(some))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    words = IdMemory(library)
 
     def learn(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pairs = []
+        """A cut is a word and the marks behind it; both are learned once and put together by their places."""
+        parts = []
         for cut in cuts:
             word = cut.rstrip(MARKS)
-            if len(word) < len(cut) and word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()):
-                pairs.append((word.lower() if word.isascii() else word, cut[len(word) :]))
+            if word.isalpha() and word.isascii():
+                parts += (word.lower(), cut[len(word) :])
+            elif len(word) < len(cut) and word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha():
+                parts += (word, cut[len(word) :])
             else:
-                pairs.append((cut.lower() if cut.isascii() and cut.isalpha() else cut, ""))
-        if len(known) > CACHE:
-            known.clear()
-        encode_new(list(dict.fromkeys(p for pair in pairs for p in pair if p not in known)))
-        sizes, flat = [], []
-        for word, tail in pairs:
-            before = len(flat)
-            flat += known[word]
-            flat += known[tail]
-            sizes.append(len(flat) - before)
-        return np.array(sizes, np.int64), np.array(flat, np.int32)
+                parts += (cut, "")
+        length, flat = words.gather(words.slots_of(parts, CACHE))
+        return length.reshape(-1, 2).sum(axis=1), flat
 
     return CutMemory(learn, CUTS)
 
@@ -163,7 +181,7 @@ def _writer(folder: str, tokenizer: str, end: int | None, width: int, dictionary
         tail = np.array([] if end is None else [end], kind)
         for whole in parts:
             for batch in slices(whole, "text"):
-                offsets, ids = encode([t or "" for t in batch.column("text").to_pylist()])
+                offsets, ids = encode(batch.column("text"))
                 for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), offsets, offsets[1:]):
                     values = np.concatenate([ids[a:b].astype(kind), tail])
                     file = file or _File(folder, width, dictionary)
@@ -229,9 +247,11 @@ def read(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
     spread = placed.repartition(min(READERS, manifest.count() + 1), "name")
     names = ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
 
-    def documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [*[pa.int64()] * 4, pa.list_(pa.int32())]
+
+    def documents(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for name, base in zip(part["name"], part["base"], strict=True):
+            for name, base in zip(*(part.column(c).to_pylist() for c in ("name", "base")), strict=True):
                 with files.open_input(folder, "dictionary") as f:
                     reader = Reader(folder, name, f.read())
                 starts = base + np.concatenate([[0], np.cumsum(reader.counts)]).astype(np.int64)
@@ -239,11 +259,10 @@ def read(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
                 for k in range(len(reader.ids)):
                     ids = reader.document(k)
                     crc = zlib.crc32(ids.astype("<u4").tobytes())
-                    rows.append((int(reader.ids[k]) if reader.present[k] else None, starts[k], len(ids), crc, *([ids.astype(np.int32)] if with_ids else [])))
+                    rows.append((int(reader.ids[k]) if reader.present[k] else None, int(starts[k]), len(ids), crc, *([ids.astype(np.int32)] if with_ids else [])))
                     size += len(ids)
                     if size > 500_000 or k == len(reader.ids) - 1:
-                        out = pd.DataFrame(rows, columns=names)
-                        yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
                         rows, size = [], 0
 
-    return spread.mapInPandas(documents, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)
+    return spread.mapInArrow(documents, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)
