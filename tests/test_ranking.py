@@ -80,6 +80,26 @@ def test_salted_join_equals_plain_join(spark):
         assert plain == salted
 
 
+def test_hot_keys_are_spread_in_proportion(spark):
+    """Keys with 30 and 2 % of the rows; no part holds more than about a thousandth."""
+    kind = F.when(F.col("id") % 100 < 30, "first").when(F.col("id") % 100 < 32, "second").otherwise(F.concat(F.lit("k"), F.col("id")))
+    big = spark.range(60_000).select(F.col("id").alias("review_id"), kind.alias("token"))
+    hot = {r["token"]: r["salts"] for r in joins.hot_keys(big, "token").collect()}
+    assert set(hot) == {"first", "second"} and 290 <= hot["first"] <= 310 and 19 <= hot["second"] <= 22
+    parts = joins.salted(big, F.broadcast(joins.hot_keys(big, "token")), "token", F.col("review_id")).groupBy("token", "_salt").count()
+    sizes = {t: [r["count"] for r in parts.where(F.col("token") == t).collect()] for t in hot}
+    assert max(sizes["first"] + sizes["second"]) < 2 * 60 and len(sizes["first"]) == hot["first"]
+    # and in the tasks of a shuffle by key and salt
+    salted = joins.salted(big, F.broadcast(joins.hot_keys(big, "token")), "token", F.col("review_id"))
+    tasks = salted.repartition(16, "token", "_salt").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert tasks < 1.5 * 60_000 / 16
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    wide = spark.range(50).select(F.col("id").cast("string").alias("token"), F.array_repeat(F.lit(0.5), 1000).alias("vector"))
+    assert joins.fits_broadcast(wide, 100)[1] and not joins.fits_broadcast(wide, 100, 50_000)[1]
+
+
 def test_lookup_beyond_broadcast_limit(spark):
     big = spark.range(100).select(F.col("id").alias("review_id"), (F.col("id") % 10).cast("string").alias("token"))
     small = big.select("token").distinct().withColumn("v", F.lit(1))
