@@ -47,7 +47,7 @@ class SamplingOptions:
     step: float = 0.025
     seed: int = 42
     chunk_tokens: int = 4_000_000
-    batch: int = 256
+    batch: int = 512
     shared: int = 64  # negatives that a batch shares
     noise_words: int = 20_000  # negatives dealt to a chunk, on average
 

@@ -112,7 +112,7 @@ def _moved(df, key):
 
 @query("emb1_word2vec", f"SELECT token, CAST(16 AS BIGINT) AS dim, TRUE AS moved FROM ({_TRAIN_VOCAB})")
 def _(spark, sf):
-    options = training.TrainOptions(vector_size=16, window=3, min_count=5, epochs=2)
+    options = training.TrainOptions(vector_size=16, window=3, min_count=5, epochs=2, chunk_tokens=500_000)
     return _moved(training.fit_word_vectors(_train_rows(spark, sf), options), "token")
 
 

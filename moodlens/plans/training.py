@@ -24,6 +24,7 @@ class TrainOptions:
     epochs: int = 10
     architecture: str = "skipgram"
     negative: int = 10  # 0 trains skip-gram by MLlib's hierarchical softmax, whose table must fit the driver
+    chunk_tokens: int = 4_000_000  # larger chunks exchange fewer vectors, smaller ones give a small corpus more tasks
     word2vec_partitions: int = 8  # of MLlib's trainer only
     sample: float = 1e-3
     test_size: float = 0.2
@@ -167,7 +168,7 @@ def fit_word_vectors(corpus: DataFrame, o: TrainOptions) -> DataFrame:
         model = embeddings.fit_word2vec(corpus, o.vector_size, o.window, o.min_count, o.epochs, o.seed, o.word2vec_partitions)
         return cut_lineage(embeddings.word_vectors(model))
     options = negative_sampling.SamplingOptions(
-        o.architecture, o.vector_size, o.window, o.min_count, o.epochs, o.negative, seed=o.seed)
+        o.architecture, o.vector_size, o.window, o.min_count, o.epochs, o.negative, seed=o.seed, chunk_tokens=o.chunk_tokens)
     return negative_sampling.fit_vectors(corpus, options)[0]
 
 
