@@ -7,13 +7,16 @@ level below. Only windows repeated at one level are extended to the next:
   least hash is sent: equal full windows have the same least half, so nothing is lost, and a quarter of the
   positions is shuffled.
 * Level two extends the halves that occur in two documents or more to the full length, and finds the smallest
-  document of every full window. Identity is 96 bits of two independent half hashes.
+  document of every full window. Identity is 96 bits of two independent half hashes; words are not compared, so two
+  windows in 2^96 may be taken for equal.
+
+Shorter levels are steps of the hash alone: almost every window of 1, 2 or 4 words repeats, so nothing would be left out.
 
 The work is done on chunks, sets of documents chosen by the hash of their id. A chunk sends each hash once, with
-the smallest and largest document that has it there, so a passage shared by a third of all documents costs one
-entry per chunk, and verdicts return to chunks. Hash buckets and chunks are bounded by their bytes.
+the smallest and largest document id that has it there, so a passage shared by a third of all documents costs one
+entry per chunk, and the smallest id of all returns to the chunks. Hash buckets and chunks are bounded by their bytes.
 
-Null texts have no words. A null id counts as larger than all others. Rows with equal ids do not remove each
+Null texts have no words. A null id counts as the largest one, 2^63 - 1. Rows with equal ids do not remove each
 other's words. All input columns pass through; columns named like an output are replaced.
 """
 
@@ -23,16 +26,19 @@ from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 WINDOW = 13
 #: Text bytes of a chunk of documents.
 CHUNK_BYTES = 2 << 20
 #: Text bytes for each hash bucket.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 64 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -65,22 +71,20 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 class Chunk:
     """The words of some documents, and the hashes of their windows."""
 
-    def __init__(self, docs: pd.DataFrame, window: int) -> None:
-        self.words = [(t or "").encode().split() for t in docs["text"]]
+    def __init__(self, docs: pa.Table, window: int) -> None:
+        self.words = [(t or "").encode().split() for t in docs["text"].to_pylist()]
         self.sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
         self.ends = np.cumsum(self.sizes)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(self.words)), np.uint64, int(self.sizes.sum()))
         self.half = (window + 1) // 2
         self.halves = _grown(hashes, 1, self.half)
-        row = np.repeat(np.arange(len(docs)), self.sizes)
+        row = np.repeat(np.arange(len(self.words)), self.sizes)
         count = max(len(row) - window + 1, 0)
         #: starts of the full windows that lie in one document
         self.starts = np.flatnonzero(row[:count] == row[window - 1 :][:count])
-        self.rows = row[self.starts]
         self.least = _sliding_min(self.halves, window - self.half + 1)[self.starts]
-        given = docs["doc_id"]
-        own = np.array([NO_ID if pd.isna(x) else int(x) for x in given], np.int64)
-        self.ids, self.rank = np.unique(own, return_inverse=True)
+        #: the document id of each full window
+        self.ids = pc.fill_null(docs["doc_id"].cast(pa.int64()), NO_ID).to_numpy()[row[self.starts]]
         self.shift = window - self.half
 
     def keys(self, at: np.ndarray) -> np.ndarray:
@@ -91,10 +95,15 @@ class Chunk:
 
 
 KEY = np.dtype([("a", "<u8"), ("b", "<u4")])
-LEVEL1 = "bucket int, chunk bigint, hashes binary, many binary"
-VERDICT1 = "chunk bigint, hashes binary"
-LEVEL2 = "bucket int, chunk bigint, keys binary, low binary, high binary, ids binary"
-VERDICT2 = "chunk bigint, keys binary, cuts binary"
+LEVEL1 = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("many", pa.binary())])
+VERDICT1 = pa.schema([("chunk", pa.int64()), ("hashes", pa.binary())])
+LEVEL2 = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
+VERDICT2 = pa.schema([("chunk", pa.int64()), ("keys", pa.binary()), ("firsts", pa.binary())])
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, schema.types, strict=True)], schema=schema)
 
 
 def _by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -105,37 +114,40 @@ def _by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple
     return order, [(int(b), slice(i, j)) for b, i, j in zip(found, first, [*first, len(order)][1:], strict=False)]
 
 
-def _level1(window: int, buckets: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    def send(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
+def _level1(window: int, buckets: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    def send(key: tuple, docs: pa.Table) -> pa.Table:
         chunk = Chunk(docs, window)
-        rank = chunk.rank[chunk.rows]
-        fresh = np.ones(len(rank), bool)
-        fresh[1:] = (chunk.least[1:] != chunk.least[:-1]) | (rank[1:] != rank[:-1])
-        values, rank = chunk.least[fresh], rank[fresh]
-        order = np.lexsort((rank, values))
-        values, rank = values[order], rank[order]
+        values, ids = chunk.least, chunk.ids
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (values[1:] != values[:-1]) | (ids[1:] != ids[:-1])
+        values, ids = values[fresh], ids[fresh]
+        order = np.argsort(values)
+        values, ids = values[order], ids[order]
         first = np.flatnonzero(np.diff(values, prepend=~values[:1]))
-        many = np.minimum.reduceat(rank, first) != np.maximum.reduceat(rank, first) if len(first) else np.zeros(0, bool)
+        many = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first) if len(first) else np.zeros(0, bool)
         values = values[first]
         order, parts = _by_bucket(values, buckets)
-        out = [(b, key[0], values[order[s]].tobytes(), np.packbits(many[order[s]]).tobytes()) for b, s in parts]
-        return pd.DataFrame(out, columns=["bucket", "chunk", "hashes", "many"])
+        return _rows([(b, key[0].as_py(), values[order[s]].tobytes(), np.packbits(many[order[s]]).tobytes()) for b, s in parts], LEVEL1)
 
     return send
 
 
-def _repeated(part: pd.DataFrame) -> pd.DataFrame:
+def _arrays(column: pa.ChunkedArray, kind: object) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in column.to_pylist()]
+
+
+def _repeated(part: pa.Table) -> pa.Table:
     """For each chunk, the hashes of a bucket that two documents or more have."""
-    lists = [np.frombuffer(x, np.uint64) for x in part["hashes"]]
-    marks = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(v)).astype(bool) for x, v in zip(part["many"], lists, strict=True)]
+    lists = _arrays(part["hashes"], np.uint64)
+    marks = [np.unpackbits(x, count=len(v)).astype(bool) for x, v in zip(_arrays(part["many"], np.uint8), lists, strict=True)]
     every, count = np.unique(np.concatenate(lists), return_counts=True)
     some = every[count > 1]
     out = []
-    for chunk, values, many in zip(part["chunk"], lists, marks, strict=True):
+    for chunk, values, many in zip(part["chunk"].to_pylist(), lists, marks, strict=True):
         hit = values[many | _within(values, some)]
         if len(hit):
             out.append((chunk, hit.tobytes()))
-    return pd.DataFrame(out, columns=["chunk", "hashes"])
+    return _rows(out, VERDICT1)
 
 
 def _within(values: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -145,27 +157,23 @@ def _within(values: np.ndarray, found: np.ndarray) -> np.ndarray:
     return found[np.minimum(np.searchsorted(found, values), len(found) - 1)] == values
 
 
-def _level2(window: int, buckets: int) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    names = ["bucket", "chunk", "keys", "low", "high", "ids"]
-
-    def send(key: tuple, docs: pd.DataFrame, verdict: pd.DataFrame) -> pd.DataFrame:
+def _level2(window: int, buckets: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    def send(key: tuple, docs: pa.Table, verdict: pa.Table) -> pa.Table:
         if not len(docs) or not len(verdict):
-            return pd.DataFrame([], columns=names)
+            return _rows([], LEVEL2)
         chunk = Chunk(docs, window)
-        found = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in verdict["hashes"]]))
+        found = np.sort(np.concatenate(_arrays(verdict["hashes"], np.uint64)))
         at = np.flatnonzero(_within(chunk.least, found))
-        keys, rank = chunk.keys(chunk.starts[at]), chunk.rank[chunk.rows[at]].astype(np.uint32)
+        keys, ids = chunk.keys(chunk.starts[at]), chunk.ids[at]
         order = np.lexsort((keys["b"], keys["a"]))
-        keys, rank = keys[order], rank[order]
+        keys, ids = keys[order], ids[order]
         first = np.flatnonzero(_changes(keys))
         if not len(first):
-            return pd.DataFrame([], columns=names)
-        low, high = np.minimum.reduceat(rank, first), np.maximum.reduceat(rank, first)
+            return _rows([], LEVEL2)
+        low, high = np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
         keys = keys[first]
         order, parts = _by_bucket(keys["a"], buckets)
-        ids = chunk.ids.tobytes()
-        out = [(b, key[0], *(x[order[s]].tobytes() for x in (keys, low, high)), ids) for b, s in parts]
-        return pd.DataFrame(out, columns=names)
+        return _rows([(b, key[0].as_py(), *(x[order[s]].tobytes() for x in (keys, low, high))) for b, s in parts], LEVEL2)
 
     return send
 
@@ -176,40 +184,32 @@ def _changes(keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _earlier(part: pd.DataFrame) -> pd.DataFrame:
-    """For each chunk, the full windows that a smaller document has: its documents from rank ``cut`` on lose them."""
-    keys = [np.frombuffer(x, KEY) for x in part["keys"]]
-    ids = [np.frombuffer(x, np.int64) for x in part["ids"]]
-    low, high = ([i[np.frombuffer(x, np.uint32)] for x, i in zip(part[n], ids, strict=True)] for n in ("low", "high"))
-    source = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-    every, lows, highs = np.concatenate(keys), np.concatenate(low), np.concatenate(high)
+def _earlier(part: pa.Table) -> pa.Table:
+    """For each chunk, the full windows that a smaller document has, and the smallest of these."""
+    keys = _arrays(part["keys"], KEY)
+    every, lows, highs = np.concatenate(keys), *(np.concatenate(_arrays(part[n], np.int64)) for n in ("low", "high"))
     order = np.lexsort((every["b"], every["a"]))
-    first = np.flatnonzero(_changes(every[order]))
-    group = np.cumsum(_changes(every[order])) - 1
+    new = _changes(every[order])
     smallest = np.empty_like(lows)
-    smallest[order] = np.minimum.reduceat(lows[order], first)[group]
-    out = []
+    smallest[order] = np.minimum.reduceat(lows[order], np.flatnonzero(new))[np.cumsum(new) - 1]
     lost = smallest < highs
-    bounds = np.searchsorted(source, np.arange(len(keys) + 1))
-    for k, chunk in enumerate(part["chunk"]):
-        s = slice(bounds[k], bounds[k + 1])
-        hit = lost[s]
-        if hit.any():
-            cuts = np.searchsorted(ids[k], smallest[s][hit], side="right").astype(np.uint32)
-            out.append((chunk, keys[k][hit].tobytes(), cuts.tobytes()))
-    return pd.DataFrame(out, columns=["chunk", "keys", "cuts"])
-
-
-def _cut(window: int, columns: list[str]) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    def cut(_: tuple, docs: pd.DataFrame, verdict: pd.DataFrame) -> pd.DataFrame:
+    out, bounds = [], np.cumsum([0, *map(len, keys)])
+    for chunk, a, b in zip(part["chunk"].to_pylist(), bounds, bounds[1:]):
+        hit = np.flatnonzero(lost[a:b]) + a
+        if len(hit):
+            out.append((chunk, every[hit].tobytes(), smallest[hit].tobytes()))
+    return _rows(out, VERDICT2)
+
+
+def _cut(window: int, columns: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def cut(docs: pa.Table, verdict: pa.Table) -> pa.Table:
         chunk = Chunk(docs, window)
         total = int(chunk.sizes.sum())
         gone = np.zeros(total + 1, np.int64)
         if len(verdict):
-            keys = np.concatenate([np.frombuffer(x, KEY) for x in verdict["keys"]])
-            cuts = np.concatenate([np.frombuffer(x, np.uint32) for x in verdict["cuts"]])
+            keys, firsts = np.concatenate(_arrays(verdict["keys"], KEY)), np.concatenate(_arrays(verdict["firsts"], np.int64))
             order = np.lexsort((keys["b"], keys["a"]))
-            keys, cuts = keys[order], cuts[order]
+            keys, firsts = keys[order], firsts[order]
             mine = chunk.keys(chunk.starts)
             # keys with the same first half are rare: step through them until all are compared
             at = np.searchsorted(keys["a"], mine["a"])
@@ -219,7 +219,7 @@ def _cut(window: int, columns: list[str]) -> Callable[[tuple, pd.DataFrame, pd.D
                 live = live[at[live] < len(keys)]
                 live = live[keys["a"][at[live]] == mine["a"][live]]
                 same = keys["b"][at[live]] == mine["b"][live]
-                lost[live[same]] = chunk.rank[chunk.rows[live[same]]] >= cuts[at[live[same]]]
+                lost[live[same]] = chunk.ids[live[same]] > firsts[at[live[same]]]
                 live = live[~same]
                 at[live] += 1
             starts = chunk.starts[lost]
@@ -233,8 +233,9 @@ def _cut(window: int, columns: list[str]) -> Callable[[tuple, pd.DataFrame, pd.D
             removed.append(len(words) - left)
             chosen = words if left == len(words) else [w for w, k in zip(words, keep, strict=True) if k]
             texts.append(b" ".join(chosen).decode())
-        out = docs[columns].copy()
-        out["n_words"], out["n_removed"], out["kept_text"] = chunk.sizes, np.array(removed, np.int64), texts
+        out = docs.select(columns)
+        for name, values in (("n_words", chunk.sizes), ("n_removed", np.array(removed, np.int64)), ("kept_text", pa.array(texts, pa.string()))):
+            out = out.append_column(name, pa.array(values))
         return out
 
     return cut
@@ -246,18 +247,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A word is removed if a window of ``window`` words that covers it also starts in a document with a smaller id.
     Windows are judged on the input.
     """
-    outputs = {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"}
+    outputs = {"n_words": LongType(), "n_removed": LongType(), "kept_text": StringType()}
     columns = [c for c in docs.columns if c not in outputs and c != "_chunk"]
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = total // CHUNK_BYTES + 1, int(total // BUCKET_BYTES + 1)
     chunk = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), "text")), F.lit(chunks))
-    # dealt out once; the plan reuses this exchange for the three passes
+    # dealt out once: all three passes take the same columns, so the plan reuses this exchange
     dealt = docs.select(*columns, chunk.alias("_chunk")).repartition("_chunk")
-    narrow = dealt.select("_chunk", "doc_id", "text")
-    half = narrow.groupBy("_chunk").applyInPandas(_level1(window, buckets), LEVEL1)
-    found = half.groupBy("bucket").applyInPandas(_repeated, VERDICT1)
-    full = narrow.groupBy("_chunk").cogroup(found.groupBy("chunk")).applyInPandas(_level2(window, buckets), LEVEL2)
-    lost = full.groupBy("bucket").applyInPandas(_earlier, VERDICT2)
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {k}" for c, k in ({c: kinds[c] for c in columns} | outputs).items())
-    return dealt.groupBy("_chunk").cogroup(lost.groupBy("chunk")).applyInPandas(_cut(window, columns), schema)
+    half = dealt.groupBy("_chunk").applyInArrow(_level1(window, buckets), from_arrow_schema(LEVEL1))
+    found = half.groupBy("bucket").applyInArrow(_repeated, from_arrow_schema(VERDICT1))
+    full = dealt.groupBy("_chunk").cogroup(found.groupBy("chunk")).applyInArrow(_level2(window, buckets), from_arrow_schema(LEVEL2))
+    lost = full.groupBy("bucket").applyInArrow(_earlier, from_arrow_schema(VERDICT2))
+    schema = StructType([docs.schema[c] for c in columns] + [StructField(n, k) for n, k in outputs.items()])
+    return dealt.groupBy("_chunk").cogroup(lost.groupBy("chunk")).applyInArrow(_cut(window, columns), schema)
