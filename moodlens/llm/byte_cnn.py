@@ -19,9 +19,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from moodlens.llm.cuts import slices
 
 WIDTH = 4
 FILTERS = 24
@@ -152,10 +155,11 @@ def score(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, the probability of a good label. The network travels with the tasks."""
     kept = docs.drop("score")
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = network.pairs()
-        for part in parts:
-            yield part.assign(score=[network.score(t, pairs) for t in part[text]])
+        for whole in parts:
+            for part in slices(whole, text):
+                found = pa.array([network.score(t, pairs) for t in part.column(text).to_pylist()], pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInPandas(batches, f"{schema}, score double")
+    return kept.mapInArrow(batches, StructType([*kept.schema.fields, StructField("score", DoubleType())]))

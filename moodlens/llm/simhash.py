@@ -20,13 +20,14 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.llm.common import stored
 from moodlens.llm.components import components
+from moodlens.llm.cuts import slices
 
 BITS = 64
 SHINGLE = 3
@@ -56,14 +57,15 @@ def fingerprint(text: str | None) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_key, fp)``: the fingerprint as a signed long, and a hash of the text to tell rows apart."""
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            fp = np.array([fingerprint(t) for t in part["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": part["doc_id"], "text_key": part["text_key"], "fp": fp})
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in parts:
+            for part in slices(whole, "text"):
+                fp = np.array([fingerprint(t) for t in part.column("text").to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(fp)], names=["doc_id", "text_key", "fp"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(batches, f"doc_id {kind}, text_key bigint, fp bigint")
+    return rows.mapInArrow(batches, f"doc_id {kind}, text_key bigint, fp bigint")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:

@@ -19,14 +19,16 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodlens.llm import files
+from moodlens.llm.cuts import slices
 
 REVISIT_BYTES = 1000
 #: Compressed bytes after which a file is closed.
@@ -39,6 +41,10 @@ READERS = 20_000
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = f"{files.MANIFEST}, records bigint"
+RECORD = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+    ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.string()),
+])
 
 
 def _base32(digest: str) -> str:
@@ -80,8 +86,9 @@ def _info() -> bytes:
 
 def _writer(folder: str, limit: int) -> Callable:
     names = [x.split()[0] for x in MANIFEST.split(", ")]
+    kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64()]
 
-    def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId(), []
         temporary, out, size, records = "", None, 0, 0
         notice_id, notices = None, {}
@@ -92,13 +99,12 @@ def _writer(folder: str, limit: int) -> Callable:
             done.append((part, len(done), temporary, f"pages-{part:06d}-{len(done):04d}.warc.gz", size, records))
             out, size, records = None, 0, 0
 
-        for rows in parts:
-            for page_id, notice, digest, refers_to, url, html in rows.itertuples(index=False, name=None):
-                page_id = None if pd.isna(page_id) else int(page_id)
+        for rows in chain.from_iterable(slices(p, "html") for p in parts):
+            for page_id, notice, digest, refers_to, url, html in zip(*(c.to_pylist() for c in rows.columns)):
                 if notice:  # sorted ahead of the pages with this id
                     if notice_id != page_id:
                         notice_id, notices = page_id, {}
-                    notices[digest] = int(refers_to)
+                    notices[digest] = refers_to
                     continue
                 payload = (html or "").encode()
                 target = notices.get(hashlib.sha1(payload).hexdigest()) if notices and notice_id == page_id and len(payload) >= REVISIT_BYTES else None
@@ -113,7 +119,8 @@ def _writer(folder: str, limit: int) -> Callable:
                     close()
         if out is not None:
             close()
-        yield pd.DataFrame(done, columns=names)
+        columns = zip(*done) if done else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return write
 
@@ -134,7 +141,7 @@ def write(pages: DataFrame, folder: str, limit: int = FILE_BYTES) -> DataFrame:
     told = revisits(pages).select("page_id", F.lit(1).alias("notice"), "digest", "refers_to", none.cast("string").alias("url"), none.cast("string").alias("html"))
     both = own.unionByName(told).repartitionByRange(int(total // RANGE_BYTES + 1), "page_id")
     order = ["page_id", F.desc("notice"), "url", "html", "digest"]
-    return files.commit(both.sortWithinPartitions(*order).mapInPandas(_writer(folder, limit), MANIFEST), folder)
+    return files.commit(both.sortWithinPartitions(*order).mapInArrow(_writer(folder, limit), MANIFEST), folder)
 
 
 def members(file: BinaryIO, step: int = 1 << 20) -> Iterator[bytes]:
@@ -170,10 +177,9 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     ``payload`` is null for revisits; length and digest are those of the full payload.
     """
 
-    def records(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+    def records(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for name in part["name"]:
+            for name in part.column("name").to_pylist():
                 rows, size = [], 0
                 with files.open_input(folder, name) as file:
                     for data in members(file):
@@ -190,14 +196,14 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                         rows.append((int(page) if page else None, fields["WARC-Target-URI"], length, digest, fields["WARC-Type"], int(target) if target else None, None if revisit else payload.decode()))
                         size += len(data)
                         if size > 4 << 20:
-                            yield _frame(rows, names)
+                            yield _batch(rows)
                             rows, size = [], 0
-                yield _frame(rows, names)
+                yield _batch(rows)
 
     spread = manifest.select("name").repartition(min(READERS, manifest.count() + 1), "name")
-    return spread.mapInPandas(records, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload string")
+    return spread.mapInArrow(records, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload string")
 
 
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=names)
-    return out.assign(page_id=out["page_id"].astype("Int64"), refers_to=out["refers_to"].astype("Int64"))
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(RECORD)
+    return pa.RecordBatch.from_arrays([pa.array(c, RECORD.field(k).type) for k, c in enumerate(columns)], schema=RECORD)
