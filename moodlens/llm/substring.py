@@ -38,7 +38,7 @@ WINDOW = 13
 #: Text bytes of a chunk of documents.
 CHUNK_BYTES = 2 << 20
 #: Text bytes for each hash bucket.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
