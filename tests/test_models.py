@@ -292,3 +292,28 @@ def test_scorer_with_lemmas_and_stems(spark, tmp_path):
     scored = {r["review_id"]: r for r in scorer.score(new).collect()}
     assert scored[1]["n_in_vocab"] == 2 and scored[2]["n_in_vocab"] == 3
     assert scorer.clean.stem and scorer.lemmas.count() == 3
+
+
+def test_vectors_beyond_the_broadcast_meet_the_reviews_in_chunks(spark, monkeypatch):
+    """Repeated and null ids, null tokens, repeated words and words without a vector: as the broadcast path gives them."""
+    rng = np.random.default_rng(2)
+    rows = [(i // 2, [f"w{k}" for k in rng.integers(0, 60, int(rng.integers(1, 40)))]) for i in range(80)]
+    rows += [(None, ["w1"]), (500, None), (501, []), (502, [None, "w1"]), (503, ["zzz"]), (504, ["w3"] * 700)]
+    df = spark.createDataFrame(rows, "review_id long, tokens array<string>")
+    table = [(f"w{k}", [float(v) for v in rng.normal(size=3)]) for k in range(50)] + [("w1", [1.0, 2.0, 3.0]), ("w2", None)]
+    vec = spark.createDataFrame(table, "token string, vector array<double>")
+    weights = spark.createDataFrame([(f"w{k}", k / 10) for k in range(20)], "token string, weight double")
+    found = lambda w: sorted(map(tuple, embeddings.document_vectors(df, vec, 3, w).collect()), key=repr)
+    flat = lambda rows: np.array([[-1 if r[0] is None else r[0], r[1], r[2], *r[3], r[4]] for r in rows], float)
+    before = [found(None), found(weights)]
+    monkeypatch.setattr(embeddings.joins, "fits_broadcast", lambda small, *_: (small, False))
+    monkeypatch.setattr(embeddings.joins, "salted_join", lambda *_: pytest.fail("a row for every token was shuffled"))
+    monkeypatch.setattr(embeddings, "CHUNK_TOKENS", 200)
+    monkeypatch.setattr(embeddings, "CHUNK_NUMBERS", 0)
+    monkeypatch.setattr(embeddings, "BLOCK_TOKENS", 64)
+    after = [found(None), found(weights)]
+    for a, b in zip(before, after):
+        assert np.allclose(flat(a), flat(b))
+    pairs = {(r, t) for r, ts in rows if r is not None for t in ts or [] if t in {x for x, _ in table}}
+    full = embeddings.token_sums(df, vec.dropDuplicates(["token"]).withColumn("weight", F.lit(1.0)), 3)
+    assert {r["review_id"]: r["n_types"] for r in full.collect() if r["n_types"]} == {i: sum(p[0] == i for p in pairs) for i in {p[0] for p in pairs}}
