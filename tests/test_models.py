@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from moodlens.operators import embeddings, models, negative_sampling, prediction, smote, splits
 from moodlens.plans import training
+from moodlens.session import shared_dir
 from moodlens.streaming import jobs
 
 
@@ -317,3 +319,14 @@ def test_vectors_beyond_the_broadcast_meet_the_reviews_in_chunks(spark, monkeypa
     pairs = {(r, t) for r, ts in rows if r is not None for t in ts or [] if t in {x for x, _ in table}}
     full = embeddings.token_sums(df, vec.dropDuplicates(["token"]).withColumn("weight", F.lit(1.0)), 3)
     assert {r["review_id"]: r["n_types"] for r in full.collect() if r["n_types"]} == {i: sum(p[0] == i for p in pairs) for i in {p[0] for p in pairs}}
+
+
+def test_large_corpora_get_larger_chunks_and_leave_little_on_disk(spark):
+    o = negative_sampling.SamplingOptions(architecture="document", size=4, window=2, negative=2, rounds=2, min_count=1, chunk_tokens=10)
+    assert [negative_sampling.chunk_count(n, o) for n in (5, 100, 6_400, 10**9)] == [1, 10, 64, 500]
+    df = spark.createDataFrame([(i, [f"w{(i * k) % 30}" for k in range(12)]) for i in range(120)], "review_id long, tokens array<string>")
+    tables = lambda: {d for d in os.listdir(shared_dir(spark).removeprefix("file:")) if d.startswith("vectors-")}
+    before = tables()
+    vectors, docs = negative_sampling.fit_vectors(df, o)
+    assert vectors.count() == 30 and docs.count() == 120
+    assert len(tables() - before) == 1  # the table that the document vectors are read from
