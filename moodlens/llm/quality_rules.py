@@ -93,7 +93,13 @@ def with_repeats(df: DataFrame, words: str, out: str, window: int = WINDOW) -> D
     """
     w, n = F.col(words), F.size(words) - window
     starts = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("_wh", _hashes(w)).withColumn("_hw", F.transform(starts, lambda i: F.xxhash64(F.slice(F.col("_wh"), i + 1, window))))
+    df = df.withColumn("_wh", _hashes(w)).withColumn("_hw", F.col("_wh"))
+    width = 1
+    while width < window:  # hashes of stretches twice as long, the last ones overlapping
+        step = min(width, window - width)
+        left = F.greatest(F.size("_hw") - step, F.lit(0))
+        df = df.withColumn("_hw", F.zip_with(F.slice("_hw", 1, left), F.slice("_hw", step + 1, left), lambda a, b: F.xxhash64(a, b)))
+        width += step
     repeats = F.size(F.array_distinct("_hw")) < F.size("_hw")
     sorted_windows = F.array_sort(F.transform(starts, lambda i: F.struct(F.array_join(F.slice(w, i + 1, window), " ").alias("w"), i.alias("i"))))
     df = df.withColumn("_sw", F.when(repeats, sorted_windows))
