@@ -159,3 +159,13 @@ def test_quantiles_interpolate(spark):
     df = spark.createDataFrame([(n,) for n in (1, 2, 3, 10)], "n_tokens int")
     got = [r["tokens"] for r in diagnostics.length_quantiles(df, (0.1, 0.5, 0.9)).orderBy("quantile").collect()]
     assert [round(v, 9) for v in got] == [1.3, 2.5, 7.9]
+
+
+def test_the_cross_validation_check_pairs_no_rows(spark, sf_dir):
+    """The recomputed AUC must not join rows with the other labels' rows, whose number grows with the square."""
+    from moodlens.plans.catalog import QUERIES
+
+    found = QUERIES["mod6_cv_recomputed"](spark, sf_dir)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "NOT (label" in line]
+    assert {r["metric"]: r["same"] for r in found.collect()} == dict.fromkeys(("auc", "f1", "precision", "recall"), True)
