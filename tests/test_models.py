@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from moodlens.operators import embeddings, models, negative_sampling, prediction, smote, splits
+from moodlens.operators import embeddings, models, negative_sampling, packing, prediction, smote, splits
 from moodlens.plans import training
 from moodlens.session import shared_dir
 from moodlens.streaming import jobs
@@ -330,3 +330,27 @@ def test_large_corpora_get_larger_chunks_and_leave_little_on_disk(spark):
     vectors, docs = negative_sampling.fit_vectors(df, o)
     assert vectors.count() == 30 and docs.count() == 120
     assert len(tables() - before) == 1  # the table that the document vectors are read from
+
+
+def test_tokens_travel_packed(spark):
+    rows = [(i, [f"word{(i * k) % 50}" for k in range(300)]) for i in range(400)] + [(900, None), (901, []), (902, [None, "word1", "é"]), (902, ["again"])]
+    df = spark.createDataFrame(rows, "review_id long, tokens array<string>").repartition(2)
+    blocks = embeddings.chunked(df, 40_000)
+    assert blocks.columns == ["chunk", "block"]
+    found = blocks.toArrow()
+    assert len(set(found["chunk"].to_pylist())) == 4 and len(found) <= 8
+    assert sum(map(len, found["block"].to_pylist())) < sum(len(t or "") for _, ts in rows for t in ts or []) / 5
+    back = packing.unpacked(found).to_pylist()
+    assert sorted(map(repr, ((r["review_id"], r["tokens"]) for r in back))) == sorted(map(repr, ((i, t or []) for i, t in rows)))
+
+
+@pytest.mark.parametrize("sample", [0.0, 1e-3])
+def test_tables_of_tokens_are_no_checkpoints(spark, monkeypatch, sample):
+    """A checkpoint holds every token uncompressed; vectors are the same from packed reviews."""
+    cut = training.cut_lineage
+    monkeypatch.setattr(training, "cut_lineage", lambda df: pytest.fail("tokens in a checkpoint") if "tokens" in df.columns else cut(df))
+    rows = [(i, ("Negative", "Positive")[i % 2], [f"w{(i * k) % 30}" for k in range(12)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "review_id long, Emotion string, tokens array<string>")
+    o = training.TrainOptions(vector_size=4, window=2, min_count=1, epochs=1, sample=sample)
+    dv, _ = training.featurise_corpus(df, o)
+    assert dv.count() == 60 and dv.filter("n_tokens = 12").count() == 60
