@@ -39,11 +39,14 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _features(hashes: Column, buckets: int) -> Column:
-    """Buckets of all unigrams, then of all bigrams."""
-    head = F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0)))
-    pairs = F.zip_with(head, F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _doubled(hashes: Column, step: int) -> Column:
+    """Hashes of each two stretches that start ``step`` words apart."""
+    left = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, left), F.slice(hashes, step + 1, left), lambda a, b: F.xxhash64(a, b))
+
+
+def _bucket(gram: Column, buckets: int) -> Column:
+    return F.pmod(gram, F.lit(buckets)).cast("int")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -62,11 +65,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoo
     # null ids meet nothing and are dealt out by their text, so that they do not go to one task
     deal = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(0).alias("_deal")
     marked = docs.select("doc_id", "text", deal).join(mark, (F.col("doc_id") == F.col("_trusted_id")) & (F.col("_deal") == F.col("_trusted_deal")), "left")
-    grams = marked.select(
-        F.col("_trusted_id").isNotNull().cast("long").alias("in_target"),
-        F.explode(_features(_hashes(pieces(whole(F.col("text")), SPACES)), buckets)).alias("bucket"),
-    )
-    sums = grams.groupBy("bucket").agg(F.sum("in_target").alias("target"), F.count("*").alias("raw"))
+    hashed = marked.withColumn("_wh", _hashes(pieces(whole(F.col("text")), SPACES)))
+    grams = hashed.select(F.col("_trusted_id").isNotNull().cast("long").alias("in_target"), F.explode(F.concat("_wh", _doubled(F.col("_wh"), 1))).alias("gram"))
+    # buckets are taken of the exploded rows, in generated code
+    sums = grams.withColumn("bucket", _bucket(F.col("gram"), buckets)).groupBy("bucket").agg(F.sum("in_target").alias("target"), F.count("*").alias("raw"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(sums, "bucket", "left").select("bucket", F.coalesce("target", F.lit(0)).alias("target"), F.coalesce("raw", F.lit(0)).alias("raw"))
     one = full.agg(
@@ -89,16 +91,18 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoo
 def with_repeats(df: DataFrame, words: str, out: str, window: int = WINDOW) -> DataFrame:
     """Add ``out``: the words inside windows of ``window`` words that are found twice or more in the text.
 
-    Window hashes tell texts without repeats; only the others compare the windows themselves.
+    Window hashes tell texts without repeats; only the others compare the windows themselves. The hashes of the words
+    and of all two consecutive ones stay as ``_wh`` and ``_bh``.
     """
     w, n = F.col(words), F.size(words) - window
     starts = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("_wh", _hashes(w)).withColumn("_hw", F.col("_wh"))
-    width = 1
+    df = df.withColumn("_wh", _hashes(w))
+    df = df.withColumn("_bh", _doubled(F.col("_wh"), 1))
+    df = df.withColumn("_hw", F.col("_bh" if window > 1 else "_wh"))
+    width = min(window, 2)
     while width < window:  # hashes of stretches twice as long, the last ones overlapping
         step = min(width, window - width)
-        left = F.greatest(F.size("_hw") - step, F.lit(0))
-        df = df.withColumn("_hw", F.zip_with(F.slice("_hw", 1, left), F.slice("_hw", step + 1, left), lambda a, b: F.xxhash64(a, b)))
+        df = df.withColumn("_hw", _doubled(F.col("_hw"), step))
         width += step
     repeats = F.size(F.array_distinct("_hw")) < F.size("_hw")
     sorted_windows = F.array_sort(F.transform(starts, lambda i: F.struct(F.array_join(F.slice(w, i + 1, window), " ").alias("w"), i.alias("i"))))
@@ -121,11 +125,10 @@ def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, buck
     df = with_repeats(df, "_words", "n_repeat_words")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     symbols = F.when(text.rlike(SYMBOLS), F.char_length(F.regexp_replace(text, r"[^#*$%&|<>]+", ""))).otherwise(0)
-    features = _features(F.col("_wh"), buckets)
-    df = df.withColumn("_lines", lines).withColumn("_f", features)
+    df = df.withColumn("_lines", lines).withColumn("_f", F.concat("_wh", "_bh"))
     # used once, so the optimizer reads the subquery's one value in place and copies no array into the rows
     df = df.withColumn("_ratios", ratios.select("ratios").scalar())
-    mean = F.aggregate("_f", F.lit(0.0), lambda a, b: a + F.get("_ratios", b)) / F.size("_f")
+    mean = F.aggregate("_f", F.lit(0.0), lambda a, gram: a + F.get("_ratios", _bucket(gram, buckets))) / F.size("_f")
     n_words = F.size("_words").cast("long")
     df = df.withColumns({
         "n_words": n_words,
@@ -136,4 +139,4 @@ def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, buck
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return df.drop("_words", "_wh", "_lines", "_f", "_ratios")
+    return df.drop("_words", "_wh", "_bh", "_lines", "_f", "_ratios")

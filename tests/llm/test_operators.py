@@ -346,3 +346,12 @@ def test_components(spark):
 
 def test_passage_is_long_enough():
     assert len(PASSAGE.split()) > 13
+
+
+def test_ngram_buckets_are_taken_in_generated_code(spark):
+    """Functions on array elements run interpreted, an element at a time, and were most of the work."""
+    docs = spark.createDataFrame([(1, "a b c a b"), (2, None)], "doc_id long, text string")
+    ratios = quality_rules.log_ratios(docs, docs.select("doc_id").limit(1), buckets=16)
+    plan = ratios._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(gram" in plan and "pmod(lambda" not in plan
+    assert len(ratios.first()["ratios"]) == 16
