@@ -17,39 +17,61 @@ SLICE_BYTES = 4 << 20
 class IdMemory:
     """Remembers the ids of texts. ``learn`` takes new texts and gives the number of ids of each, and the ids of all."""
 
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]]) -> None:
         self.learn = learn
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.slots: dict = {}
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
         self.start = np.zeros(1 << 12, np.int64)
         self.length = np.zeros(1 << 12, np.int64)
+        # calls that met a text
+        self.met = np.zeros(1 << 12, np.int32)
 
-    def _add(self, texts: list[str]) -> None:
+    def _add(self, texts: list) -> None:
         sizes, flat = self.learn(texts)
         first, total = len(self.slots), len(self.slots) + len(texts)
         while total > len(self.start):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+            self.start, self.length, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.met))
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.int32)])
         self.slots.update(zip(texts, range(first, total), strict=True))
         self.start[first:total] = self.used + np.cumsum(sizes) - sizes
         self.length[first:total] = sizes
+        self.met[first:total] = 0
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
-    def slots_of(self, texts: list[str], limit: int) -> np.ndarray:
-        """The slots of texts. Where more than ``limit`` would be known, all others are forgotten."""
-        new = list({t: None for t in texts if t not in self.slots})
+    def thin(self, count: int) -> None:
+        """Keep the ``count`` texts that most calls met; half of what was counted goes, so that old texts leave."""
+        n = len(self.slots)
+        kept = np.sort(np.argsort(-self.met[:n], kind="stable")[:count])
+        texts = list(self.slots)
+        self.slots = {texts[k]: j for j, k in enumerate(kept.tolist())}
+        length, ids = self.gather(kept)
+        self.used, m = len(ids), len(kept)
+        self.ids[: self.used] = ids
+        self.met[:m] = self.met[kept] >> 1
+        self.start[:m] = np.cumsum(length) - length
+        self.length[:m] = length
+
+    def _find(self, texts: list) -> tuple[np.ndarray, list]:
+        """The slots of texts, -1 for new ones, and the distinct new ones."""
+        get = self.slots.get
+        slot = np.array([get(t, -1) for t in texts], np.int64)
+        return slot, list(dict.fromkeys([texts[k] for k in np.flatnonzero(slot < 0).tolist()]))
+
+    def slots_of(self, texts: list, limit: int) -> np.ndarray:
+        """The slots of texts. Where more than ``limit`` would be known, the texts met most often stay, half of it at most."""
+        slot, new = self._find(texts)
         if len(self.slots) + len(new) > limit and self.slots:
-            self.forget()
-            new = list(dict.fromkeys(texts))
+            self.thin(max(0, min(limit // 2, limit - len(new))))
+            slot, new = self._find(texts)
         if new:
             self._add(new)
-        return np.fromiter(map(self.slots.__getitem__, texts), np.int64, len(texts))
+            gone = np.flatnonzero(slot < 0)
+            slot[gone] = [self.slots[texts[k]] for k in gone.tolist()]
+        self.met[slot] += 1
+        return slot
 
     def gather(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of each slot, and the ids of all."""
@@ -61,7 +83,7 @@ class IdMemory:
 class CutMemory:
     """Cuts texts at spaces and line feeds and encodes every distinct new cut once, with ``learn``.
 
-    When ``limit`` cuts are known, it forgets all and starts anew.
+    When ``limit`` cuts are known, the more frequent half of them stays.
     """
 
     def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int | None = None) -> None:
@@ -75,7 +97,7 @@ class CutMemory:
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
         # only distinct cuts become Python strings
         coded = lists.flatten().dictionary_encode()
-        slot = self.known.slots_of(coded.dictionary.to_pylist(), self.limit)
+        slot = self.known.slots_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.limit)
         length, ids = self.known.gather(slot[coded.indices.to_numpy()])
         return np.concatenate([[0], np.cumsum(length)])[bounds].astype(np.int64), ids
 

@@ -104,6 +104,26 @@ def test_bpe_memory_starts_anew(monkeypatch):
         assert own.encode([text])[1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_memory_keeps_frequent_texts():
+    from moodlens.llm.cuts import IdMemory
+
+    learned = Counter()
+
+    def learn(texts):
+        learned.update(texts)
+        return np.array([len(t) for t in texts]), np.array([ord(c) for t in texts for c in t], np.int32)
+
+    memory = IdMemory(learn)
+    for k in range(40):
+        texts = ["often", f"once {k}", "often too", "", "often"]
+        length, ids = memory.gather(memory.slots_of(texts, 8))
+        assert "".join(map(chr, ids)) == "".join(texts) and length.tolist() == [len(t) for t in texts]
+        assert len(memory.slots) <= 8
+    assert learned["often"] == learned["often too"] == learned[""] == 1
+    # more texts than are remembered
+    assert memory.gather(memory.slots_of([*"abcdefghijkl", "often"], 8))[0].tolist() == [1] * 12 + [5]
+
+
 def test_bpe_decode_of_odd_ids(spark):
     df = spark.createDataFrame([([0, 1],), (None,), ([],), ([None, 2, -5, 10**6],)], "ids array<int>")
     assert [r[0] for r in bpe.decode(df, PATH).select("decoded").collect()] == ["! \"", "", "", "#"]
