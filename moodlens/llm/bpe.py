@@ -1,14 +1,15 @@
 """BPE encoding and decoding with a prefix-sharing trie.
 
 A text is cut at spaces, special tokens are taken out, the rest is normalised and split into words. The distinct
-words that are new go into a trie of byte symbols, the last symbol of a word being one with the end mark. A
-depth-first walk gives every prefix its last token: the one token that ends the prefix and fits the last token of
-what stands before it. Two tokens fit if merging their symbols gives the same two tokens back. The encoding of a
-prefix shared by many words is so worked out once, and a word's ids are read backwards from its end.
+words that are new form a trie of byte symbols, the last symbol of a word being one with the end mark; in sorted
+order they are its depth-first walk. The walk gives every prefix its last token: the one token that ends the prefix
+and fits the last token of what stands before it. Two tokens fit if merging their symbols gives the same two tokens
+back. Only tokens that end a prefix are tried: the longest end of it that begins a token names them. The encoding of
+a prefix shared by many words is so worked out once, and a word's ids are read backwards from its end.
 
 There is no shuffle and no vocabulary of the corpus: each task keeps the ids of at most ``CACHE`` distinct cuts
-and as many distinct words, and starts anew when they are full. Work arrives in slices of at most ``SLICE_BYTES`` of text, single long texts
-excepted.
+and as many distinct words, and of a full memory the more frequent half. Work arrives in slices of at most
+``SLICE_BYTES`` of text, single long texts excepted.
 
 Null texts are encoded like empty ones, to no ids. Rows are independent, so repeated rows give equal results; all
 input columns pass through, and columns named like an output are replaced.
@@ -28,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from moodlens.llm.cuts import CACHE, CutMemory, slices
+from moodlens.llm.cuts import CACHE, CutMemory, IdMemory, slices
 
 #: Marks that the pattern never joins with letters.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
-#: Distinct new words in one trie.
-TRIE_WORDS = 20_000
+#: Characters of a word in which what it shares with another is looked for.
+SHARED = 32
 #: Remembered token pairs.
 PAIRS = 500_000
 
@@ -73,11 +74,11 @@ class Bpe:
         # tokens by their text, without end mark and with it
         self.plain = {t: i for t, i in self.vocab.items() if not t.endswith(self.end) or t == self.end}
         self.ended = {t.removesuffix(self.end): i for t, i in self.vocab.items() if t.endswith(self.end) and t != self.end}
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-        self.known: dict[str, list[int]] = {}
         self.width = [len(t.removesuffix(self.end)) or 1 for t in self.tokens]
+        self.chains = self._chains()
+        self.words = IdMemory(self.encode_pieces)
         self.memory = CutMemory(self.encode_cuts)
 
     # tokens and pairs
@@ -117,67 +118,67 @@ class Bpe:
 
     # the trie
 
-    def _last(self, text: str, ended: bool, last: list[int]) -> int:
-        """The last token of the prefix ``text``, given those of all shorter prefixes by their length."""
-        n, get, pairs = len(text), (self.ended if ended else self.plain).get, self.pairs
-        # there is only one; most often it prolongs the token before it, so that is tried first
-        before = n - 1 - self.width[last[n - 1]] if n > 1 else 0
-        for k in (before, *range(max(0, n - self.longest), n)):
-            token = get(text[k:])
-            if token is not None:
-                if not k:
-                    fits = self._stands(token)
+    def _chains(self) -> dict[str, tuple[tuple[int, ...], tuple[int, ...]]]:
+        """For every beginning of a token's text the tokens that end it, longest first, without end mark and with it."""
+        texts = self.plain.keys() | self.ended.keys()
+        found = {}
+        for text in {t[:n] for t in texts for n in range(1, len(t) + 1)}:
+            tails = [text[k:] for k in range(len(text))]
+            found[text] = tuple(tuple(kind[t] for t in tails if t in kind) for kind in (self.plain, self.ended))
+        return found
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids of distinct words, given in byte symbols.
+
+        In sorted order the words are the depth-first walk of their trie: what a word shares with the word before it
+        is known, and the rest is a new branch.
+        """
+        order = sorted(range(len(words)), key=words.__getitem__)
+        sizes, out = np.zeros(len(words), np.int64), []
+        shared = _shared([words[k] for k in order])
+        chains, pairs, width, none = self.chains, self.pairs, self.width, ((), ())
+        longest = max(map(len, words), default=0) + 1
+        # for each prefix of the word, by length: its last token, and how much of its end begins a token
+        last, begun = [0] * longest, [0] * longest
+        for k, known in zip(order, shared):
+            word, n = words[k], len(words[k])
+            for depth in range(known + 1, n + 1):
+                at = depth - 1 - begun[depth - 1]
+                chain = chains.get(word[at:depth])
+                while chain is None and at < depth:
+                    at += 1
+                    chain = chains.get(word[at:depth])
+                begun[depth] = depth - at
+                for token in (chain or none)[depth == n]:
+                    left = depth - width[token]
+                    if left:
+                        pair = (last[left], token)
+                        fits = pairs.get(pair)
+                        if fits is None:
+                            fits = self._fits(*pair)
+                    else:
+                        fits = self._stands(token)
+                    if fits:
+                        break
                 else:
-                    fits = pairs.get((last[k], token))
-                    if fits is None:
-                        fits = self._fits(last[k], token)
-                if fits:
-                    return token
-        raise ValueError(f"no encoding for {text!r}")
-
-    def encode_words(self, words: set[str]) -> dict[str, list[int]]:
-        """Ids of each distinct word, given in byte symbols."""
-        trie: dict = {}
-        for word in words:
-            node = trie
-            for c in word:
-                node = node.setdefault(c, {})
-            node[""] = word
-        out: dict[str, list[int]] = {}
-        last = [0] * (max(map(len, words), default=0) + 1)
-        width = self.width
-        stack = [(c, child, "") for c, child in trie.items()]
-        while stack:
-            c, node, before = stack.pop()
-            text = before + c
-            depth = len(text)
-            word = node.get("")
-            if word is not None:
-                at, ids = depth, [self._last(text, True, last)]
-                at -= width[ids[0]]
-                while at:
-                    ids.append(last[at])
-                    at -= width[last[at]]
-                out[word] = ids[::-1]
-            if len(node) > (word is not None):
-                last[depth] = self._last(text, False, last)
-                stack += [(d, child, text) for d, child in node.items() if d]
-        return out
+                    raise ValueError(f"no encoding for {word[:depth]!r}")
+                last[depth] = token
+            ids, at = [], n
+            while at:
+                ids.append(last[at])
+                at -= width[last[at]]
+            sizes[k] = len(ids)
+            out += ids[::-1]
+        # from sorted order to the order given
+        order, flat = np.array(order, np.int64), np.array(out, np.int32)
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return sizes, flat[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(flat))]
 
     # texts
 
     def _pieces(self, cut: str) -> list[int | str]:
         """The words of a cut in byte symbols, and the ids of special tokens."""
-        # most cuts are a word of letters and marks behind it, for which the pattern's answer is plain
-        word = cut.rstrip(MARKS)
-        if word.isalpha():
-            tail = [cut[len(word) :]] if len(word) < len(cut) else []
-            if word.isascii():
-                return [word.lower(), *tail]
-            text = unicodedata.normalize("NFC", word)
-            text = (text.replace("Σ", "σ") if "Σ" in text else text).lower()
-            if text.isalpha():
-                return [text.encode().decode("latin-1").translate(self.table), *tail]
         out: list[int | str] = []
         for part in self.special_cut.split(cut) if self.special_cut and "<" in cut else [cut]:
             if part in self.special:
@@ -189,22 +190,38 @@ class Bpe:
                     out.append(w if w.isascii() and w.isprintable() else "".join([self.symbols[b] for b in w.encode()]))
         return out
 
+    def encode_pieces(self, pieces: list[int | str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids of distinct words in byte symbols and of special tokens, which stand for themselves."""
+        words = np.array([isinstance(p, str) for p in pieces], bool)
+        sizes = np.ones(len(pieces), np.int64)
+        sizes[words], flat = self.encode_words([p for p in pieces if isinstance(p, str)])
+        of_word = np.repeat(words, sizes)
+        ids = np.zeros(len(of_word), np.int32)
+        ids[of_word], ids[~of_word] = flat, [p for p in pieces if not isinstance(p, str)]
+        return sizes, ids
+
     def encode_cuts(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of ids and ids of cuts, by way of a trie for each ``TRIE_WORDS`` of them."""
-        sizes: list[int] = []
-        out: list[int] = []
-        for k in range(0, len(cuts), TRIE_WORDS):
-            parts = [self._pieces(c) for c in cuts[k : k + TRIE_WORDS]]
-            if len(self.known) > CACHE:
-                self.known.clear()
-            known = self.known
-            known |= self.encode_words({w for p in parts for w in p if isinstance(w, str) and w not in known})
-            for part in parts:
-                before = len(out)
-                for w in part:
-                    out += known[w] if isinstance(w, str) else [w]
-                sizes.append(len(out) - before)
-        return np.array(sizes, np.int64), np.array(out, np.int32)
+        """Numbers of ids and ids of cuts, whose words are remembered by themselves."""
+        pieces: list[int | str] = []
+        counts = np.full(len(cuts), 2, np.int64)
+        table, marks = self.table, MARKS
+        for k, cut in enumerate(cuts):
+            # most cuts are a word of letters and marks behind it, for which the pattern's answer is plain
+            word = cut.rstrip(marks)
+            if word.isalpha():
+                if word.isascii():
+                    pieces += (word.lower(), cut[len(word) :])
+                    continue
+                text = unicodedata.normalize("NFC", word)
+                text = (text.replace("Σ", "σ") if "Σ" in text else text).lower()
+                if text.isalpha():
+                    pieces += (text.encode().decode("latin-1").translate(table), cut[len(word) :])
+                    continue
+            found = self._pieces(cut)
+            pieces += found
+            counts[k] = len(found)
+        length, flat = self.words.gather(self.words.slots_of(pieces, CACHE))
+        return np.diff(np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(counts)])]), flat
 
     def decode(self, ids: list[int] | None) -> str:
         """The tokens of the ids joined by a space; ids without a token are left out."""
@@ -214,6 +231,16 @@ class Bpe:
         return " ".join(map(tokens.__getitem__, ids))
 
 
+def _shared(words: list[str]) -> list[int]:
+    """How much each of sorted words shares with the word before it, short of that word's end, up to ``SHARED``."""
+    if not words:
+        return []
+    chars = np.array(words, f"U{SHARED}").view(np.uint32).reshape(len(words), SHARED)
+    differs = np.concatenate([chars[1:] != chars[:-1], np.ones((len(words) - 1, 1), bool)], axis=1)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    return [0, *np.minimum(differs.argmax(axis=1), np.minimum(sizes[:-1], sizes[1:]) - 1).clip(0).tolist()]
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
     return Bpe(path)

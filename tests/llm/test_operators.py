@@ -124,6 +124,31 @@ def test_memory_keeps_frequent_texts():
     assert memory.gather(memory.slots_of([*"abcdefghijkl", "often"], 8))[0].tolist() == [1] * 12 + [5]
 
 
+def test_bpe_words_in_trie_order():
+    rng = np.random.default_rng(3)
+    syllables = ["in", "tion", "the", "a", "sh", "ß", "é", "ner", "x", "日"]
+    words = list({"".join(rng.choice(syllables, n)) for n in rng.integers(1, 30, 600)})
+    words += [w + "s" for w in words[:200] if w + "s" not in words]
+    own, tokenizer = bpe.Bpe(PATH), Tokenizer.from_file(PATH)
+    symbols = ["".join(own.symbols[b] for b in w.encode()) for w in words]
+    sizes, ids = own.encode_words(symbols)
+    ends = np.cumsum(sizes)
+    for w, a, b in zip(words, ends - sizes, ends):
+        assert ids[a:b].tolist() == tokenizer.encode(w, add_special_tokens=False).ids
+
+
+def test_bpe_keeps_frequent_words(monkeypatch):
+    own, tokenizer, seen = bpe.Bpe(PATH), Tokenizer.from_file(PATH), Counter()
+    plain = own.encode_words
+    monkeypatch.setattr(own, "encode_words", lambda words: seen.update(words) or plain(words))
+    monkeypatch.setattr(bpe, "CACHE", 12)
+    own.memory.limit = 12
+    for k in range(30):
+        text = f"the word of the{'abcdefghij'[k % 10]}{'klm'[k // 10]}, <|endoftext|> x{k}"
+        assert own.memory.encode([text])[1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert seen["the"] == seen["word"] == seen["of"] == 1
+
+
 def test_bpe_decode_of_odd_ids(spark):
     df = spark.createDataFrame([([0, 1],), (None,), ([],), ([None, 2, -5, 10**6],)], "ids array<int>")
     assert [r[0] for r in bpe.decode(df, PATH).select("decoded").collect()] == ["! \"", "", "", "#"]
