@@ -59,11 +59,11 @@ _NORM_DV = f"{_MEAN_DV}, nv AS (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY rev
 
 
 def _doc_vectors(spark, sf, sif=False, l2=False):
-    df = base.staged(spark, sf)
+    df = base.written(spark, sf)
     weights = None
     if sif:
         weights = embeddings.sif_weights(base.freq(base.split(df).filter(F.col("split") == "train")))
-    return df, embeddings.document_vectors(df, base.vectors(df), DIM, weights, l2)
+    return df, embeddings.document_vectors(df, base.vectors(df), DIM, weights, l2, written=True)
 
 
 @query("emb6_document_vectors", f"WITH {_MEAN_DV} SELECT review_id, dim, n_in::BIGINT AS n_in_vocab, {r('x')} AS value FROM dv")

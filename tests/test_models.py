@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import math
 import os
+import tracemalloc
+from collections import Counter
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from moodlens.operators import embeddings, models, negative_sampling, packing, prediction, smote, splits
-from moodlens.plans import training
+from moodlens.plans import base, training
+from moodlens.plans.catalog import QUERIES
 from moodlens.session import shared_dir
 from moodlens.streaming import jobs
 
@@ -354,3 +359,80 @@ def test_tables_of_tokens_are_no_checkpoints(spark, monkeypatch, sample):
     o = training.TrainOptions(vector_size=4, window=2, min_count=1, epochs=1, sample=sample)
     dv, _ = training.featurise_corpus(df, o)
     assert dv.count() == 60 and dv.filter("n_tokens = 12").count() == 60
+
+
+def test_chunks_are_looked_up_without_strings(spark):
+    """Four bytes a token: the strings of a chunk with their offsets would take three times as much, and copies of them more."""
+    rng = np.random.default_rng(4)
+    lists = [[f"longer-word-{k}" for k in rng.integers(0, 3000, 500)] for _ in range(200)]
+    rows = [(i % 150, t) for i, t in enumerate(lists)] + [(900, None), (901, [None, "longer-word-1", "é"])]
+    df = spark.createDataFrame(rows, "review_id long, tokens array<string>").repartition(3)
+    blocks = embeddings.chunked(df, 10**9).toArrow()["block"]
+    vocab = pa.array(["é"] + [f"longer-word-{k}" for k in range(2000)])
+    assert set(packing.words(blocks).to_pylist()) == {w for _, t in rows for w in t or [] if w}
+    pool = pa.default_memory_pool()
+    before = pool.bytes_allocated()
+    tracemalloc.start()
+    ids, sizes, at = packing.coded(blocks, vocab)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pool.bytes_allocated() - before < 100_000 and at.dtype == np.int32 and most < 30 * len(at)
+    assert ids.to_pylist() == sorted(i for i, _ in rows)
+    place = {w: k for k, w in enumerate(vocab.to_pylist())}
+    found, low = {}, 0
+    for i, n in zip(ids.to_pylist(), sizes):
+        found.setdefault(i, []).append(at[low : low + n].tolist())
+        low += n
+    want = {}
+    for i, t in rows:
+        want.setdefault(i, []).append([place.get(w, len(vocab)) for w in t or [] if w])
+    assert {i: sorted(v) for i, v in found.items()} == {i: sorted(v) for i, v in want.items()}
+    words, n = packing.counts(blocks)
+    assert dict(zip(words.to_pylist(), n.tolist())) == dict(Counter(w for _, t in rows for w in t or [] if w))
+
+
+@pytest.mark.parametrize("name", ["emb2_cbow", "emb6_sif_document_vectors", "jn1_token_vectors", "mod3_early_stopping"])
+def test_python_steps_do_not_share_executors_with_kept_tokens(spark, sf_dir, monkeypatch, name):
+    """Rows kept in memory fill the heap of an executor, whose Python needs what is left."""
+    monkeypatch.setattr(base, "kept", lambda df: pytest.fail("tokens are kept") if "tokens" in df.columns else df)
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_words_are_counted_once_before_training(spark, monkeypatch):
+    """Training counts the words of its chunks; a count of all tokens before it read the corpus once more."""
+    df = spark.createDataFrame([(i, [f"w{(i * k) % 30}" for k in range(12)]) for i in range(60)], "review_id long, tokens array<string>")
+    monkeypatch.setattr(F, "explode_outer", lambda *_: pytest.fail("a row for every token"))
+    o = training.TrainOptions(vector_size=4, window=2, min_count=1, epochs=1)
+    assert training.fit_word_vectors(df, o).count() == 30
+    for tokens in ([], [None], ["once"]):
+        with pytest.raises(ValueError, match="no word occurs 5 times"):
+            training.fit_word_vectors(spark.createDataFrame([(1, tokens)], "review_id long, tokens array<string>"), replace(o, min_count=5))
+
+
+def test_an_update_meets_each_pair_as_one_by_one():
+    """One batch against plain loops: repeated rows, targets that are negatives, masked places."""
+    rng = np.random.default_rng(3)
+    o = negative_sampling.SamplingOptions(negative=3, shared=5)
+    inp, out = (rng.normal(size=(9, 4)).astype(np.float32) for _ in range(2))
+    rows, target = rng.integers(0, 9, (12, 2)), rng.integers(0, 9, (12, 3))
+    row_mask, target_mask = (np.concatenate([np.ones((12, 1)), rng.integers(0, 2, (12, k - 1))], 1).astype(np.float32) for k in (2, 3))
+    noise = rng.integers(0, 9, 5)
+    din, dout, nin, nout = np.zeros((9, 4)), np.zeros((9, 4)), np.zeros(9), np.zeros(9)
+    for i in range(12):
+        own, used = [k for k in range(2) if row_mask[i, k]], [k for k in range(3) if target_mask[i, k]]
+        hidden = sum(inp[rows[i, k]] for k in own) / len(own)
+        pulls = [(target[i, k], 0.1 / (1 + np.exp(hidden @ out[target[i, k]])), 1) for k in used]
+        for w in noise:
+            push = 0 if w in target[i] else -len(used) * 0.1 * 3 / 5 / (1 + np.exp(-hidden @ out[w]))
+            pulls.append((w, push, len(used) * 3 / 5))
+        for w, g, n in pulls:
+            dout[w] += g * hidden
+            nout[w] += n
+            for k in own:
+                din[rows[i, k]] += g * out[w] / len(own)
+        for k in own:
+            nin[rows[i, k]] += len(used) / len(own)
+    want = [x + d / np.maximum(n / negative_sampling.STEADY, 1)[:, None] for x, d, n in ((inp, din, nin), (out, dout, nout))]
+    drawn = np.zeros(9, bool)
+    negative_sampling._update(inp, out, rows, row_mask, target, target_mask, noise, o, 0.1, drawn)
+    assert np.allclose(inp, want[0], atol=1e-5) and np.allclose(out, want[1], atol=1e-5) and not drawn.any()
